@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from correlia.llm import consensus, cooccur, overlap, splits
+from correlia.llm import consensus, cooccur, overlap, sentences, splits
 from correlia.runtime import durable, read
 
 
@@ -27,6 +27,15 @@ def p1_balance(spark: SparkSession, d: str) -> DataFrame:
     return p1_splits(spark, d).join(rows.select("ejemplo_id", label), "ejemplo_id").groupBy("split", "label").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("grupo_id").alias("n_grupos"))
 
 
+def p2_sentences(spark: SparkSession, d: str) -> DataFrame:
+    """Every sentence with its order, offsets and text."""
+    return sentences.cut_sentences(sentences.project_texts(read(spark, d, "documentos"), read(spark, d, "texto_unidades")))
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return p2_sentences(spark, d).select("origen", "clave", "offset_ini", "offset_fin")
+
+
 def p4_pairs(spark: SparkSession, d: str) -> DataFrame:
     ents = cooccur.sentence_entities(read(spark, d, "oraciones_candidatas"), read(spark, d, "menciones"))
     return cooccur.pair_counts(ents, "unidad_id", "entidad").select(F.col("a").alias("entidad_a"), F.col("b").alias("entidad_b"), "n_ab", "n_a", "n_b", F.col("n_records").alias("n_oraciones"), F.round("lift", 6).alias("lift"))
@@ -75,5 +84,5 @@ def p6_agreement(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_splits, p1_balance, p4_found, p4_pairs, p5_found, p5_report, p6_found, p6_annotators, p6_agreement)
+    f.__name__: f for f in (p1_found, p1_splits, p1_balance, p2_found, p2_sentences, p4_found, p4_pairs, p5_found, p5_report, p6_found, p6_annotators, p6_agreement)
 }
