@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from correlia.operators import packed_values
+from correlia.runtime import read
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return packed_values.split_values(packed_values.project_cells(read(spark, d, "documentos"), read(spark, d, "operones_bronze")))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p3_found": p3_found}
 ORACLE: dict[str, str] = {}
 
 
