@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from correlia.llm import consensus, cooccur, overlap, sentences, splits
+from correlia.llm import consensus, cooccur, overlap, packing, sentences, splits
 from correlia.runtime import durable, read
 
 
@@ -83,6 +83,15 @@ def p6_agreement(spark: SparkSession, d: str) -> DataFrame:
     return consensus.agreement(read(spark, d, "muestra_precision_50"))
 
 
+def p7_containers(spark: SparkSession, d: str) -> DataFrame:
+    """Container, place and first token of every piece of every text."""
+    return packing.pack(read(spark, d, "documents"))
+
+
+def p7_fill(spark: SparkSession, d: str) -> DataFrame:
+    return packing.fill(p7_containers(spark, d))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_splits, p1_balance, p2_found, p2_sentences, p4_found, p4_pairs, p5_found, p5_report, p6_found, p6_annotators, p6_agreement)
+    f.__name__: f for f in (p1_found, p1_splits, p1_balance, p2_found, p2_sentences, p4_found, p4_pairs, p5_found, p5_report, p6_found, p6_annotators, p6_agreement, p7_containers, p7_fill)
 }
