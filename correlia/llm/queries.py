@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from correlia.llm import consensus, cooccur, overlap, packing, sentences, splits
+from correlia.llm import consensus, cooccur, leakage, overlap, packing, sentences, splits
 from correlia.runtime import durable, read
 
 
@@ -92,6 +92,23 @@ def p7_fill(spark: SparkSession, d: str) -> DataFrame:
     return packing.fill(p7_containers(spark, d))
 
 
+def p8_leaks(spark: SparkSession, d: str) -> DataFrame:
+    """Leaked items per document, with the share of the item that is covered."""
+    return leakage.find_leaks(read(spark, d, "documents"), read(spark, d, "items_evaluacion"))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return p8_leaks(spark, d).select("doc_id", "item_id")
+
+
+def p8_report(spark: SparkSession, d: str) -> DataFrame:
+    """Leaks by source and task."""
+    where = read(spark, d, "documents").select("doc_id", "source").dropDuplicates(["doc_id"])
+    task = read(spark, d, "items_evaluacion").select("item_id", "tarea").dropDuplicates(["item_id"])
+    hits = p8_leaks(spark, d).join(where, "doc_id").join(task, "item_id")
+    return hits.groupBy("source", "tarea").agg(F.countDistinct("doc_id").alias("n_documentos"), F.countDistinct("item_id").alias("n_items"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_splits, p1_balance, p2_found, p2_sentences, p4_found, p4_pairs, p5_found, p5_report, p6_found, p6_annotators, p6_agreement, p7_containers, p7_fill)
+    f.__name__: f for f in (p1_found, p1_splits, p1_balance, p2_found, p2_sentences, p4_found, p4_pairs, p5_found, p5_report, p6_found, p6_annotators, p6_agreement, p7_containers, p7_fill, p8_found, p8_leaks, p8_report)
 }
