@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from correlia.llm import consensus, cooccur, leakage, overlap, packing, sentences, splits
+from correlia.llm import consensus, cooccur, leakage, overlap, packing, quality, sentences, splits
 from correlia.runtime import durable, read
 
 
@@ -109,6 +109,14 @@ def p8_report(spark: SparkSession, d: str) -> DataFrame:
     return hits.groupBy("source", "tarea").agg(F.countDistinct("doc_id").alias("n_documentos"), F.countDistinct("item_id").alias("n_items"))
 
 
+def p9_stats(spark: SparkSession, d: str) -> DataFrame:
+    return quality.text_statistics(read(spark, d, "documents"))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return p9_stats(spark, d).where("no_prosa > 0.5").select("doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_splits, p1_balance, p2_found, p2_sentences, p4_found, p4_pairs, p5_found, p5_report, p6_found, p6_annotators, p6_agreement, p7_containers, p7_fill, p8_found, p8_leaks, p8_report)
+    f.__name__: f for f in (p1_found, p1_splits, p1_balance, p2_found, p2_sentences, p4_found, p4_pairs, p5_found, p5_report, p6_found, p6_annotators, p6_agreement, p7_containers, p7_fill, p8_found, p8_leaks, p8_report, p9_found, p9_stats)
 }
