@@ -35,12 +35,14 @@ from correlia.runtime import durable
 
 SHARE, ROUNDS, MERGE, WINDOW, FLUSH = 1e-5, 3, 9, 400, 200_000
 #: What a cell may add to the counts of a value by itself is taken off: no value supports itself.
-OWN = 1.0
+OWN, NEW_SHAPE = 1.0, 0.3
+#: Places that the first guess for hard marks weighs as.
+FIRM = 200.0
 #: Cells that hold nothing, quotes, marks that nearly always cut, and the first guess of each kind's rate.
 NOTHING = {"", "[]", "{}", "()", "-", "NA"}
 QUOTES = {'"': '"', "'": "'", "“": "”", "‘": "’", "«": "»", "`": "`"}
 HARD = set("|;\t\n~·、；，•¦")
-FIRST = {"hard": 0.95, ",": 0.7, "&": 0.7, "and": 0.5, "->": 0.9, ">": 0.9, "→": 0.9, "–": 0.6, "+": 0.8, "/": 0.5, ":": 0.5, "-": 0.3, " ": 0.3}
+FIRST = {"hard": 0.9995, ",": 0.7, "&": 0.7, "and": 0.5, "->": 0.9, ">": 0.9, "→": 0.9, "–": 0.6, "+": 0.8, "/": 0.5, ":": 0.5, "-": 0.3, " ": 0.3}
 _WORD = re.compile(r"[^\W_]+")
 _PLACE = re.compile(r"\s*[,;&]\s*(?:and|y|et|und)\s+|\s*(?:->|[|;\t\n~·、；，•¦,&>→–+/:\-])\s*|\s+(?:and|y|et|und|e)\s+|\s+")
 
@@ -150,7 +152,9 @@ class Model:
         got = self.memo.get(text)
         if got is None:
             seen = (1 - self.new) * max(self.values.get(text, 0.0) - OWN, 0.0) / self.n
-            form = (max(self.shapes.get(shape(text), 0.0) - OWN, 0.0) + 0.01) / (self.n + 1.0)
+            # A shape not seen before is the less likely the longer it is, so it costs no more than its parts.
+            kind = shape(text)
+            form = (max(self.shapes.get(kind, 0.0) - OWN, 0.0) + NEW_SHAPE * math.exp(-min(len(kind), 600) / 2)) / (self.n + 1.0)
             words = _WORD.findall(text)
             got = math.log(self.new * form) + sum(map(self.word, [None, *words], words))
             if seen:
@@ -170,7 +174,8 @@ class Model:
         if kind == "!":
             return 0.0, -1e9
         yes, no = self.cuts.get(kind, (0.0, 0.0))
-        rate = (yes + FIRST.get(kind.rstrip("*"), 0.5) * (0.2 if kind == " *" else 1) + 0.01) / (yes + no + 1.02)
+        weight = FIRM if kind == "hard" else 1.0
+        rate = (yes + weight * FIRST.get(kind.rstrip("*"), 0.5) * (0.2 if kind == " *" else 1) + 1e-4) / (yes + no + weight + 3e-4)
         if rate < 0.02:
             # A kind of mark that hardly ever cuts in this column does not cut in it.
             rate **= 2

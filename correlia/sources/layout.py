@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 def without_margins(lines: DataFrame, band: float = 0.08, share: float = 0.5) -> DataFrame:
     """Without running heads and feet: lines in the outer band that recur, numbers aside, on at least `share` of the pages."""
     key = F.regexp_replace(F.lower(F.trim("texto")), r"\d+", "#")
-    outer = (F.col("y1") < band * F.col("alto")) | (F.col("y0") > (1 - band) * F.col("alto"))
+    outer = (F.col("y1") <= band * F.col("alto")) | (F.col("y0") >= (1 - band) * F.col("alto"))
     keyed = lines.withColumns({"__key": key, "__outer": outer})
     pages = lines.groupBy("doc").agg(F.count_distinct("pagina").alias("__pages"))
     often = keyed.where("__outer").groupBy("doc", "__key").agg(F.count_distinct("pagina").alias("__n")).join(pages, "doc").where((F.col("__n") >= share * F.col("__pages")) & (F.col("__pages") > 1)).select("doc", "__key", F.lit(True).alias("__gone"))
