@@ -32,6 +32,8 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 PRETOKENS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Patterns: partners tried per size, documents per pattern, tokens that may stay empty.
 PARTNERS, FEW, SLACK, STEPS = 24, 4, 4, 300
+#: Shares of the fitted repeats that are tried; 1 rounds to the nearest, the others down.
+ROUNDINGS = (1, 0.999, 0.8, 0.5)
 
 
 @lru_cache(maxsize=2)
@@ -59,27 +61,32 @@ def token_sizes(df: DataFrame, id_col: str = "doc_id", text: str = "text", path:
 def fit_patterns(hist: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
     """(sizes of a container, repeats) that use up hist[size] exactly; hist[0] is ignored."""
     capacity = len(hist) - 1
-    left = hist.astype(np.int64).copy()
-    left[0] = 0
-    plan: list[tuple[tuple[int, ...], int]] = []
-    patterns = _few_documents(left)
-    if patterns:
-        width = max(map(len, patterns))
-        index = np.zeros((len(patterns), width), dtype=np.int64)
-        for i, p in enumerate(patterns):
-            index[i, : len(p)] = p
-        used = index > 0
-        target = left.astype(float)
-        target[0] = 0.0
-        x = _nnls(index, used, target)
-        order = np.lexsort((-x, capacity - index.sum(axis=1)))
-        for i in order[x[order] >= 0.5]:
+    whole = hist.astype(np.int64).copy()
+    whole[0] = 0
+    patterns = _few_documents(whole)
+    if not patterns:
+        return _best_fit(whole)
+    index = np.zeros((len(patterns), max(map(len, patterns))), dtype=np.int64)
+    for i, p in enumerate(patterns):
+        index[i, : len(p)] = p
+    used = index > 0
+    x = _nnls(index, used, whole.astype(float))
+    order = np.lexsort((-x, capacity - index.sum(axis=1)))
+    best: list[tuple[tuple[int, ...], int]] = []
+    # Small pieces are worth keeping for the residual: of the ways to round the repeats the best is kept.
+    for share in ROUNDINGS:
+        left, plan = whole.copy(), []
+        counts = np.round(x) if share == 1 else np.floor(x * share)
+        for i in order[counts[order] >= 1]:
             sizes, need = np.unique(index[i][used[i]], return_counts=True)
-            repeats = int(min(round(x[i]), (left[sizes] // need).min()))
+            repeats = int(min(counts[i], (left[sizes] // need).min()))
             if repeats > 0:
                 left[sizes] -= need * repeats
                 plan.append((patterns[i], repeats))
-    return plan + _best_fit(left)
+        plan += _best_fit(left)
+        if not best or sum(r for _, r in plan) < sum(r for _, r in best):
+            best = plan
+    return best
 
 
 def _few_documents(hist: np.ndarray) -> list[tuple[int, ...]]:

@@ -18,13 +18,12 @@ an empty table gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from correlia.runtime import HOT_SHARE, durable, hot_keys, lookup_join
+from correlia.operators.components import propagate
+from correlia.runtime import HOT_SHARE, durable, lookup_join
 
 #: Fixed value: the entity marks of the example sentences.
 MARKS = r"(?i)[<\[]\s*/?\s*e[12]\s*[>\]]"
@@ -62,40 +61,6 @@ def record_entities(df: DataFrame, id_col: str = "ejemplo_id", article: str = "p
     return df.select(F.col(id_col).alias("node"), F.explode(keys).alias("ent"))
 
 
-def _roots(step: DataFrame) -> DataFrame:
-    """Double the pointers of (node, label), label < node, until every label is a root."""
-    while True:
-        onward = step.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        jumped = durable(lookup_join(step, onward, "label"))
-        if jumped.where("further is not null").isEmpty():
-            return step
-        step = durable(jumped.select("node", F.coalesce("further", "label").alias("label")))
-
-
-def propagate(edges: DataFrame) -> DataFrame:
-    """(node, label) of every node whose component has a smaller node."""
-    edges = durable(edges.distinct())
-    maps: list[DataFrame] = []
-    while True:
-        ents = edges.groupBy("ent").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("ent", "lo")
-        live = durable(lookup_join(edges, ents, "ent", "inner"))
-        if live.isEmpty():
-            break
-        step = live.groupBy("node").agg(F.min("lo").alias("label")).where("label < node")
-        step = _roots(durable(step))
-        maps.append(step)
-        moved = lookup_join(live.drop("lo"), step, "node")
-        edges = durable(moved.select(F.coalesce("label", "node").alias("node"), "ent").distinct())
-    if not maps:
-        return edges.select("node", F.col("node").alias("label")).limit(0)
-
-    def compose(later: DataFrame, earlier: DataFrame) -> DataFrame:
-        end = later.select(F.col("node").alias("label"), F.col("label").alias("end"))
-        return durable(lookup_join(earlier, end, "label").select("node", F.coalesce("end", "label").alias("label")).unionByName(later))
-
-    return reduce(compose, reversed(maps))
-
-
 def connected_groups(df: DataFrame, id_col: str = "ejemplo_id", article: str = "pmid", text: str = "text") -> DataFrame:
     """Every record with the smallest record id of its group: (id_col, grupo_id)."""
     labels = propagate(record_entities(df, id_col, article, text)).select(F.col("node").alias(id_col), F.col("label").alias("grupo_id"))
