@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from correlia.operators import packed_values
-from correlia.plans import evaluation, extraction, ingest, network, operons, sampling, verification  # noqa: F401  (they register their queries)
+from correlia.plans import evaluation, extraction, ingest, linguistic, network, operons, sampling, verification  # noqa: F401  (they register their queries)
 from correlia.plans.base import ORACLE, QUERIES, plan
 from correlia.runtime import read
 
