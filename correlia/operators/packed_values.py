@@ -26,6 +26,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -36,6 +37,8 @@ from correlia.runtime import durable
 SHARE, ROUNDS, MERGE, WINDOW, FLUSH = 1e-5, 3, 9, 400, 200_000
 #: What a cell may add to the counts of a value by itself is taken off: no value supports itself.
 OWN, NEW_SHAPE = 1.0, 0.3
+#: Log-probability of a kind's cutting below which it is passed over, and of a value's inner marks below which it is given up.
+IDLE, HOPELESS = -8.0, -16.0
 #: Places that the first guess for hard marks weighs as.
 FIRM = 200.0
 #: Cells that hold nothing, quotes, marks that nearly always cut, and the first guess of each kind's rate.
@@ -45,8 +48,11 @@ HARD = set("|;\t\n~·、；，•¦")
 FIRST = {"hard": 0.9995, ",": 0.7, "&": 0.7, "and": 0.5, "->": 0.9, ">": 0.9, "→": 0.9, "–": 0.6, "+": 0.8, "/": 0.5, ":": 0.5, "-": 0.3, " ": 0.3}
 _WORD = re.compile(r"[^\W_]+")
 _PLACE = re.compile(r"\s*[,;&]\s*(?:and|y|et|und)\s+|\s*(?:->|[|;\t\n~·、；，•¦,&>→–+/:\-])\s*|\s+(?:and|y|et|und|e)\s+|\s+")
+#: Where something other than a letter may matter: a quote, a bracket or the begin of a place.
+_NEXT = re.compile(r"[\"'“‘«`(|;\t\n~·、；，•¦,&>→–+/:\-]|\s")
 
 
+@lru_cache(maxsize=200_000)
 def shape(value: str) -> str:
     out = re.sub(r"[^\W\d_]+", lambda m: re.sub(r"(.)\1+", r"\1", "".join("A" if c.isupper() else "a" for c in m[0])), value)
     return re.sub(r"(\S+)(?: \1){3,}", r"\1 \1 \1+", re.sub(r"\d+", "9", out))
@@ -92,29 +98,34 @@ def lattice(cell: str) -> tuple[list[tuple[str, bool]], list[tuple[str, str]]]:
         elif places:
             places[-1] = ("!", places[-1][1] + mark)
 
-    while i < n:
+    while m := _NEXT.search(cell, i):
+        i = m.start()
         c = cell[i]
-        if c in QUOTES and not cell[start:i].strip():
-            j, q = i + 1, QUOTES[c]
-            while (j := cell.find(q, j)) >= 0:
-                if q == c and cell[j + 1 : j + 2] == q:
-                    j += 2
+        if c in QUOTES:
+            if not cell[start:i].strip():
+                j, q = i + 1, QUOTES[c]
+                while (j := cell.find(q, j)) >= 0:
+                    if q == c and cell[j + 1 : j + 2] == q:
+                        j += 2
+                        continue
+                    after = cell[j + 1 :].lstrip(" \xa0") if len(cell) < 4000 else cell[j + 1 : j + 4000].lstrip(" \xa0")
+                    if not after or (m := _PLACE.match(after)) and m.end() and not m[0].isspace() or cell[j + 1 : j + 2] in "\t\n":
+                        break
+                    j += 1
+                if j > 0:
+                    m = _PLACE.match(cell, j + 1)
+                    end = m.end() if m else j + 1
+                    if places:
+                        places[-1] = ("!", places[-1][1])
+                    pieces.append((_unquote(cell[i : j + 1]), True))
+                    places.append(("!", m[0] if m else ""))
+                    i = start = end
                     continue
-                after = cell[j + 1 :].lstrip(" \xa0")
-                if not after or (m := _PLACE.match(after)) and m.end() and not m[0].isspace() or cell[j + 1 : j + 2] in "\t\n":
-                    break
-                j += 1
-            if j > 0:
-                m = _PLACE.match(cell, j + 1)
-                end = m.end() if m else j + 1
-                if places:
-                    places[-1] = ("!", places[-1][1])
-                pieces.append((_unquote(cell[i : j + 1]), True))
-                places.append(("!", m[0] if m else ""))
-                i = start = end
-                continue
-        if c == "(" and (j := cell.find(")", i)) > 0:
-            i = j + 1
+            i += 1
+            continue
+        if c == "(":
+            j = cell.find(")", i)
+            i = j + 1 if j > 0 else i + 1
             continue
         m = _PLACE.match(cell, i)
         if m and m.end() > i:
@@ -146,6 +157,9 @@ class Model:
         self.n = sum(shapes.values()) or 1.0
         # The mass of values not seen before is as large as the share of values seen once or so.
         self.new = min(0.95, max(0.02, len(values) / self.n))
+        self.idle = {k for k in cuts if k != "hard" and self.cut(k)[0] < IDLE}
+        #: Hard marks cut so surely here that cells with no other places have no choice.
+        self.firm = self.cut("hard")[0] > math.log(0.98)
         self.memo: dict[str, float] = {}
 
     def value(self, text: str) -> float:
@@ -182,6 +196,24 @@ class Model:
         return math.log(rate), math.log(1 - rate)
 
 
+def _contract(pieces: list, places: list, model: Model) -> tuple[list, list, list[str]]:
+    """Pieces run together over places of a kind that does not cut in this column, and the kinds so passed over."""
+    if not model.idle:
+        return pieces, places, []
+    out: list[tuple[str, bool]] = []
+    left: list[tuple[str, str]] = []
+    passed: list[str] = []
+    for (text, atomic), place in zip(pieces, places):
+        if out and left[-1][0] in model.idle and not atomic and not out[-1][1]:
+            passed.append(left[-1][0])
+            out[-1] = (out[-1][0] + left[-1][1] + text, False)
+            left[-1] = place
+        else:
+            out.append((text, atomic))
+            left.append(place)
+    return out, left, passed
+
+
 def _windows(pieces: list, places: list) -> Iterator[tuple[list, list]]:
     """Parts between sure cuts (hard marks count as such only in very long cells)."""
     begin = 0
@@ -205,6 +237,8 @@ def _edges(pieces: list, places: list, model: Model) -> list[list[tuple[int, str
                 if keep < -1e8:
                     break
                 inner += keep
+                if inner < HOPELESS:
+                    break
                 text += mark
             text += pieces[b][0]
             yes = model.cut(places[b][0])[0]
@@ -220,7 +254,11 @@ def best_values(cell: str | None, model: Model) -> list[str]:
     if (got := _json_list(bare)) is not None:
         return got
     out: list[str] = []
-    for pieces, places in _windows(*lattice(bare)):
+    pieces, places = lattice(bare)
+    if model.firm and _sure(pieces, places):
+        return [x for x in (_plain(p) for p, _ in pieces) if x]
+    pieces, places, _ = _contract(pieces, places, model)
+    for pieces, places in _windows(pieces, places):
         edges = _edges(pieces, places, model)
         score, back = [0.0] + [-math.inf] * len(pieces), [None] * (len(pieces) + 1)
         for b in range(1, len(pieces) + 1):
@@ -267,11 +305,17 @@ def _expect(cell: str, model: Model | None, counts: Counter) -> None:
             _sure_value(v, counts, model is None)
         return
     pieces, places = lattice(bare)
+    if _sure(pieces, places) and (model is None or model.firm):
+        for p, _ in pieces:
+            _sure_value(p, counts, model is None)
+        if model is not None:
+            counts["+", "hard"] += sum(k == "hard" for k, _ in places[:-1])
+        return
     if model is None:
-        if _sure(pieces, places):
-            for p, _ in pieces:
-                _sure_value(p, counts, True)
         return
+    pieces, places, passed = _contract(pieces, places, model)
+    for kind in passed:
+        counts["-", kind] += 1
     for ps, ks in _windows(pieces, places):
         edges = _edges(ps, ks, model)
         n = len(ps)
