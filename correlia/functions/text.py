@@ -146,3 +146,27 @@ def partial_date(c: str | Column, end: bool = False) -> Column:
 def short_hash(*cols: str, digits: int = 16) -> Column:
     """First digits of the SHA-1 of the columns joined by |; nulls count as empty."""
     return F.substring(F.sha1(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])), 1, digits)
+
+
+#: Ligatures and look-alike hyphens of typeset text.
+LIGATURES = {"ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st", "‐": "-", "‑": "-", "−": "-", "­": ""}
+
+
+def without_ligatures(c: str | Column) -> Column:
+    """Typeset characters as plain ones."""
+    out = F.col(c) if isinstance(c, str) else c
+    for a, b in LIGATURES.items():
+        out = F.replace(out, F.lit(a), F.lit(b))
+    return out
+
+
+def like_pattern(text: str) -> str:
+    """A LIKE pattern (escape character \\) that finds the text anywhere, its own wildcards taken literally."""
+    return "%" + text.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_") + "%"
+
+
+def alias_chains(c: str | Column) -> Column:
+    """`a = b (= c); d = e` as arrays of names that mean the same: [[a, b, c], [d, e]]."""
+    plain = F.regexp_replace(c, r"[()]", " ")
+    names = lambda x: F.filter(F.transform(F.split(x, "[=≡]"), lambda y: F.trim(y)), lambda y: y != "")
+    return F.filter(F.transform(F.split(plain, ";"), names), lambda x: F.size(x) > 1)

@@ -64,3 +64,12 @@ def operon_name(genes: Column) -> Column:
         F.substring(F.element_at(F.split(a, "-"), -1), 1, 3) == F.substring(x, 1, 3), F.concat(a, F.substring(x, 4, 100))
     ).otherwise(F.concat(a, F.lit("-"), x))
     return F.aggregate(genes, F.lit(""), fold)
+
+
+def decompose_name(name: Column) -> Column:
+    """`mexAB-oprM` as `mexA, mexB, oprM`; parts that are no gene names stay as they are."""
+    def part(x: Column) -> Column:
+        stem, letters = F.substring(x, 1, 3), F.regexp_extract(x, r"^[a-z]{3}([A-Z]+)$", 1)
+        return F.when(x.rlike(r"^[a-z]{3}[A-Z]{2,}$"), F.transform(F.sequence(F.lit(1), F.greatest(F.length(letters), F.lit(1))), lambda i: F.concat(stem, F.substr(letters, i, F.lit(1))))).otherwise(F.array(x))
+
+    return F.filter(F.flatten(F.transform(F.split(name, "-"), part)), lambda x: x != "")

@@ -76,3 +76,16 @@ def integrity(tables: dict[str, DataFrame], links: list[tuple[str, str, str, str
             row = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("regla"), "n")
             out = row if out is None else out.unionByName(row)
     return out
+
+
+def check_labels(declared: dict[int, str]) -> None:
+    """A model's labels must be the classes, in the order its scores are read in."""
+    said = [declared.get(i) for i in range(len(CLASSES))]
+    if len(declared) != len(CLASSES) or said != CLASSES:
+        raise ValueError(f"the model's labels {declared} are not {dict(enumerate(CLASSES))}")
+
+
+def valid_annotation(said: str, text: str) -> Column:
+    """Why an annotator's answer is no use: none, unreadable, or quoting words the text does not have; null if it is of use."""
+    quoted = F.get_json_object(said, "$.fragmento")
+    return F.when(F.col(said).isNull(), "abstencion").when(F.get_json_object(said, "$.relacion").isNull(), "ilegible").when(quoted.isNotNull() & ~F.contains(F.col(text), quoted), "fragmento_ajeno")

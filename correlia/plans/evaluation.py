@@ -200,3 +200,12 @@ def contamination_ids(spark, d):
     """DOIs of articles that the corpus also holds."""
     doc = read(spark, d, "documentos").join(read(spark, d, "documents").where("pmid is not null").select("pmid").distinct(), "pmid", "left_semi")
     return doc.select(X.doi("doi").alias("doi")).where("doi is not null").distinct()
+
+
+@plan()
+def eval_paired_bootstrap(spark, d):
+    """Difference of the precision of two people on the items both judged."""
+    g = guesses(spark, d)
+    a = g.where("anotador = 'anot_01'").select("item", "gold", F.col("dicho").alias("a"))
+    b = g.where("anotador = 'anot_04'").select("item", F.col("dicho").alias("b"))
+    return E.paired_bootstrap(a.join(b, "item"), "item", F.col("a") == F.col("gold"), F.col("b") == F.col("gold"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from correlia.functions.text import LIGATURES, like_pattern, without_ligatures
 from correlia.operators import linguistic as L
 from correlia.plans.base import plan
 from correlia.runtime import read
@@ -89,3 +90,34 @@ def fuzzy_match(spark, d):
     left = e.where("particion <> 'train'").select("pmid", F.col("ejemplo_id").alias("lid"), "texto")
     right = e.where("particion = 'train'").select("pmid", F.col("ejemplo_id").alias("rid"), "texto")
     return L.fuzzy_sentences(left, right, "pmid", 0.7)
+
+
+@plan("""WITH m AS (SELECT upper(trim(id_normalizado)) AS locus, min(CASE WHEN tipo = 'gen' THEN texto END) AS nombre, bool_or(tipo = 'proteina') AS es_tf FROM menciones WHERE id_normalizado IS NOT NULL GROUP BY 1), o AS (SELECT gen, string_agg(DISTINCT id_fuente, ';' ORDER BY id_fuente) AS operones FROM (SELECT id_fuente, unnest(regexp_extract_all(coalesce(locus_tags, ''), 'PA\\d+(?:\\.\\d+)?')) AS gen FROM operones_bronze) x GROUP BY 1)
+SELECT m.locus, m.nombre, m.es_tf, coalesce(o.operones, '') AS operones FROM m LEFT JOIN o ON o.gen = m.locus""")
+def gene_cards(spark, d):
+    """M6: what the lookup tools answer for each locus: name, whether it stands as a regulator, its groups."""
+    m = read(spark, d, "menciones").where("id_normalizado is not null").groupBy(F.upper(F.trim("id_normalizado")).alias("locus")).agg(F.min(F.when(F.col("tipo") == "gen", F.col("texto"))).alias("nombre"), F.bool_or(F.col("tipo") == "proteina").alias("es_tf"))
+    o = read(spark, d, "operones_bronze").select("id_fuente", F.explode(F.regexp_extract_all(F.coalesce("locus_tags", F.lit("")), F.lit(r"(PA\d+(?:\.\d+)?)"), 1)).alias("locus"))
+    groups = o.groupBy("locus").agg(F.array_join(F.array_sort(F.collect_set("id_fuente")), ";").alias("operones"))
+    return m.join(groups, "locus", "left").select("locus", "nombre", "es_tf", F.coalesce("operones", F.lit("")).alias("operones"))
+
+
+_PLAIN = "text"
+for _a, _b in LIGATURES.items():
+    _PLAIN = f"replace({_PLAIN}, '{_a}', '{_b}')"
+
+
+@plan(f"SELECT doc_id, {_PLAIN} AS limpio FROM documents")
+def plain_characters(spark, d):
+    """Typeset characters as plain ones."""
+    return read(spark, d, "documents").select("doc_id", without_ligatures("text").alias("limpio"))
+
+
+@plan("""SELECT pmid FROM (SELECT DISTINCT pmid, titulo FROM documentos) x WHERE titulo LIKE '%\\_%' ESCAPE '\\' OR titulo LIKE '%5\\%%' ESCAPE '\\' OR titulo LIKE '%5 \\%%' ESCAPE '\\'""")
+def literal_wildcards(spark, d):
+    """Titles that hold characters LIKE would take for wildcards."""
+    t = read(spark, d, "documentos").select("pmid", "titulo").distinct()
+    hit = F.lit(False)
+    for x in ("_", "5%", "5 %"):
+        hit = hit | F.col("titulo").like(like_pattern(x))
+    return t.where(hit).select("pmid")

@@ -121,3 +121,34 @@ def with_ids(documents: DataFrame, table: DataFrame, key: str = "pmid") -> DataF
 
 def register(spark: SparkSession, source: type[DataSource]) -> None:
     spark.dataSource.register(source)
+
+
+class Client:
+    """Polite client over an injected opener(url) -> (status, body): waits between calls, tries again, and tells "no" from "could not ask".
+
+    A definitive status gives None; anything else that is no success, after the last try, raises.
+    """
+
+    DEFINITIVE = frozenset({400, 404, 410})
+
+    def __init__(self, opener: Callable[[str], tuple[int, bytes]], pause: float = 0.34, tries: int = 3, sleep: Callable[[float], None] | None = None):
+        import time
+
+        self.opener, self.pause, self.tries, self.sleep = opener, pause, tries, sleep or time.sleep
+
+    def get(self, url: str) -> bytes | None:
+        last: Exception | None = None
+        for n in range(self.tries):
+            if n or self.pause:
+                self.sleep(self.pause * 2**n)
+            try:
+                status, body = self.opener(url)
+            except OSError as e:
+                last = e
+                continue
+            if 200 <= status < 300:
+                return body
+            if status in self.DEFINITIVE:
+                return None
+            last = ConnectionError(f"status {status}")
+        raise ConnectionError(f"{url}: {last}") from last

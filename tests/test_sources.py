@@ -176,3 +176,31 @@ def test_streams(spark, tmp_path):
     assert sum(r.n for r in run(stream.windowed_counts(s(), "t", "1 hour", ["k"]), "wins", "complete")) == 3
     assert {(r.k, r.n) for r in run(stream.sessions(s(), "t", ["k"]), "sess", "complete")} == {("u", 2), ("w", 1)}
     assert len(run(stream.first_of_key(s(), ["k"], "t"), "firsts", "append")) == 2
+
+
+def test_client_tells_no_from_could_not_ask():
+    answers = iter([OSError(), (503, b""), (200, b"x")])
+
+    def opener(url):
+        a = next(answers)
+        if isinstance(a, Exception):
+            raise a
+        return a
+
+    assert ranges.Client(opener, sleep=lambda s: None).get("u") == b"x"
+    assert ranges.Client(lambda u: (404, b""), sleep=lambda s: None).get("u") is None
+    with pytest.raises(ConnectionError):
+        ranges.Client(lambda u: (500, b""), sleep=lambda s: None).get("u")
+
+
+def test_names_and_answers(spark):
+    from correlia.functions import text as X
+    from correlia.operators import operons, scoring
+
+    df = spark.createDataFrame([("mexAB-oprM", "a = b (= c); d", "ﬁve −1", '{"relacion": "si", "fragmento": "zz"}', "text"), (None, None, None, None, None)], "n string, c string, t string, s string, x string")
+    r = df.select(operons.decompose_name(F.col("n")).alias("n"), X.alias_chains("c").alias("c"), X.without_ligatures("t").alias("t"), scoring.valid_annotation("s", "x").alias("v")).collect()
+    assert list(r[0].n) == ["mexA", "mexB", "oprM"] and [list(x) for x in r[0].c] == [["a", "b", "c"]] and r[0].t == "five -1" and r[0].v == "fragmento_ajeno"
+    assert r[1].n is None and r[1].v == "abstencion"
+    scoring.check_labels({0: "activates", 1: "no_relation", 2: "regulates", 3: "represses"})
+    with pytest.raises(ValueError):
+        scoring.check_labels({0: "represses", 1: "no_relation", 2: "regulates", 3: "activates"})
