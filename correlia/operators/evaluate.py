@@ -188,6 +188,6 @@ def paired_bootstrap(df: DataFrame, item: str, a: Column, b: Column, replicates:
         weight = F.when(u < cut, k).otherwise(weight)
     each = rows.withColumn("r", F.explode(F.sequence(F.lit(1), F.lit(replicates)))).withColumn("w", weight).groupBy("r").agg(F.sum(F.col("w") * F.col("d")).alias("d"), F.sum("w").alias("n")).where("n > 0").select((F.col("d") / F.col("n")).alias("x"))
     spread = each.agg(F.sort_array(F.collect_list("x")).alias("s"))
-    cut = lambda q: F.element_at("s", (F.floor(F.size("s") * q) + 1).cast("int"))
+    cut = lambda q: F.try_element_at("s", (F.floor(F.size("s") * q) + 1).cast("int"))
     value = rows.agg(F.avg("d").alias("v"))
-    return value.crossJoin(spread).select(F.round("v", 6).alias("diferencia"), F.round(cut(0.025), 6).alias("bajo"), F.round(F.element_at("s", F.greatest(F.floor(F.size("s") * 0.975), F.lit(1)).cast("int")), 6).alias("alto"), F.size("s").alias("replicas"))
+    return value.crossJoin(spread).select(F.round("v", 6).alias("diferencia"), F.round(cut(0.025), 6).alias("bajo"), F.round(F.try_element_at("s", F.greatest(F.floor(F.size("s") * 0.975), F.lit(1)).cast("int")), 6).alias("alto"), F.size("s").alias("replicas"))
