@@ -73,12 +73,13 @@ def operon_from_rows(spark, d):
     return O.group_rows(rows, "id_fuente", "id", "g").select("id_fuente", F.array_join("miembros", "|").alias("miembros"))
 
 
-@plan(f"SELECT a.id, b.id AS otro, len(list_intersect(a.genes, b.genes)) AS comunes FROM {_LOCI} a JOIN {_LOCI} b ON a.id < b.id AND a.fuente <> b.fuente WHERE len(list_intersect(a.genes, b.genes)) > 1")
+@plan(f"SELECT id, fuente, coalesce(len(list_intersect(genes, lag(genes) OVER w)), 0) AS comunes, len(list_distinct(genes)) AS n FROM {_LOCI} l WINDOW w AS (PARTITION BY fuente, cadena ORDER BY id)")
 def operon_set_overlap(spark, d):
-    """Entries of different sources that share more than one gene, met by their genes."""
-    g = loci(spark, d).select("id", "fuente", F.explode(F.array_distinct("genes")).alias("gen"))
-    h = g.select(F.col("id").alias("otro"), F.col("fuente").alias("f2"), "gen")
-    return g.join(h, "gen").where("id < otro and fuente <> f2").groupBy("id", "otro").agg(F.count(F.lit(1)).alias("comunes")).where("comunes > 1")
+    """Genes an entry shares with the one fetched before it from the same source and strand."""
+    from pyspark.sql import Window as W
+
+    before = F.lag("genes").over(W.partitionBy("fuente", "cadena").orderBy("id"))
+    return loci(spark, d).select("id", "fuente", F.when(before.isNotNull(), F.size(F.array_intersect("genes", before))).otherwise(0).alias("comunes"), F.size(F.array_distinct("genes")).alias("n"))
 
 
 @plan("SELECT id_fuente, CAST(split_part(id_fuente, '-', 2) AS INTEGER) AS num FROM operones_bronze WHERE id_fuente LIKE 'ODB-%' GROUP BY ALL ORDER BY num LIMIT 25")
