@@ -201,8 +201,8 @@ def first_match(left: DataFrame, right: DataFrame, keys: list[list[tuple[str, st
 def fuzzy_sentences(left: DataFrame, right: DataFrame, group: str, threshold: float = 0.85, candidates: int = 6) -> DataFrame:
     """(group, lid, rid, parecido): of each left sentence (group, lid, texto) the likest right one of its document by matching blocks.
 
-    Sentences meet by the words they share; of each left sentence the `candidates` that share most are compared, as the
-    reference of this operator defines it.
+    Sentences meet by the words they share; the operator is defined to compare, for each left sentence, the `candidates`
+    that share most.
     """
     w = lambda df, i: df.select(group, i, F.explode(F.array_distinct(F.regexp_extract_all(F.lower("texto"), F.lit(r"(\w{4,})"), 1))).alias("w"))
     votes = w(left, "lid").join(w(right, "rid"), [group, "w"]).groupBy(group, "lid", "rid").agg(F.count(F.lit(1)).alias("v"))
