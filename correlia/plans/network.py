@@ -29,7 +29,9 @@ def _conflict(a: str, r: str) -> str:
 
 
 _COUNTS = f"(SELECT tf, target, count(*) AS n_evidencias, count(CASE WHEN pred = 'activates' THEN 1 END) AS a, count(CASE WHEN pred = 'represses' THEN 1 END) AS r, count(CASE WHEN pred = 'regulates' THEN 1 END) AS g, sum(CASE WHEN pred = 'activates' THEN p END) AS sa, sum(CASE WHEN pred = 'represses' THEN p END) AS sr, sum(CASE WHEN pred = 'regulates' THEN p END) AS sg, count(DISTINCT seccion) AS n_secciones, len(list_distinct(flatten(list(pmids)))) AS n_articulos FROM {_CAP} c GROUP BY 1, 2)"
+_ALL_COUNTS = _COUNTS.replace(_CAP, _DEDUP)
 _EDGES = f"(SELECT tf, target, {_sign('a', 'r')} AS sign, {_conflict('a', 'r')} AS conflict, n_evidencias, a AS n_activates, r AS n_represses, g AS n_regulates, n_articulos, n_secciones, sa, sr, sg FROM {_COUNTS} x)"
+_ALL_EDGES = _EDGES.replace(_COUNTS, _ALL_COUNTS)
 
 
 def evidence(spark: SparkSession, d: str) -> DataFrame:
@@ -56,6 +58,10 @@ def edges(spark: SparkSession, d: str) -> DataFrame:
     return N.edges(capped(spark, d))
 
 
+def all_edges(spark: SparkSession, d: str) -> DataFrame:
+    return N.edges(N.deduplicate(kept(spark, d)))
+
+
 @plan(f"SELECT coalesce({_REASON}, 'queda') AS motivo, count(*) AS n FROM {_EV} e GROUP BY 1")
 def network_filter_counts(spark, d):
     """why rows are left out, each under its first reason."""
@@ -86,6 +92,12 @@ def network_edges(spark, d):
     return edges(spark, d)
 
 
+@plan(f"SELECT tf, target, sign, conflict, n_evidencias, n_activates, n_represses, n_regulates, n_articulos, n_secciones, CASE sign WHEN 'activates' THEN round(sa / n_activates, 4) WHEN 'represses' THEN round(sr / n_represses, 4) ELSE CASE WHEN n_regulates > 0 THEN round(sg / n_regulates, 4) END END AS confianza FROM {_ALL_EDGES} x")
+def network_edges_whole(spark, d):
+    """The network with the vote of every deduplicated evidence, without a cap."""
+    return all_edges(spark, d)
+
+
 @plan(f"SELECT umbral, count(*) AS n_aristas, sum(n) AS n_evidencias FROM (SELECT umbral, tf, target, count(DISTINCT oracion) AS n FROM {_EV} e, (VALUES (0.5), (0.6), (0.7), (0.8), (0.9)) t(umbral) WHERE pred <> 'no_relation' AND p >= umbral GROUP BY 1, 2, 3) x GROUP BY 1")
 def network_sensitivity(spark, d):
     """Size of the network at each of the given thresholds."""
@@ -118,6 +130,12 @@ def network_degrees(spark, d):
     return N.degrees(edges(spark, d))
 
 
+@plan(f"SELECT nodo, sum(s) AS sale, sum(e) AS entra FROM (SELECT tf AS nodo, 1 AS s, 0 AS e FROM {_ALL_EDGES} x UNION ALL SELECT target, 0, 1 FROM {_ALL_EDGES} x) y GROUP BY 1")
+def network_degrees_whole(spark, d):
+    """Edges that leave and reach each node of the uncapped network."""
+    return N.degrees(all_edges(spark, d))
+
+
 _NODES = "(SELECT DISTINCT texto AS id, upper(trim(id_normalizado)) AS locus FROM menciones WHERE tipo IN ('gen', 'proteina'))"
 
 
