@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from correlia.functions.text import canonical
+from correlia.runtime import lookup_join
 
 #: Words of an n-gram and share of the shorter text's n-grams that must be shared.
 WORDS, SHARE = 5, 0.8
@@ -48,6 +49,13 @@ def contained(left: DataFrame, right: DataFrame, share: float = SHARE) -> DataFr
     return full.select("a", "b", common.alias("comunes"), F.round(common / least, 6).alias("parte")).where(common >= share * least)
 
 
+def membership(side: DataFrame) -> DataFrame:
+    """(id, clase) of every id of `side` (id, gram): the smallest id with the same n-grams, by which `contained` names the class."""
+    key = F.sha2(F.concat_ws(" ", F.transform(F.sort_array(F.collect_set("gram")), lambda x: x.cast("string"))), 256)
+    sets = side.groupBy("id").agg(key.alias("__key"))
+    return lookup_join(sets, sets.groupBy("__key").agg(F.min("id").alias("clase")), "__key").select("id", "clase")
+
+
 def shared_keys(rows: DataFrame, key: F.Column, split: str) -> DataFrame:
     """Keys that stand in more than one split, with their rows per split: a leak-free split has none."""
     return rows.select(key.alias("clave"), F.col(split).alias("particion")).where("clave is not null").groupBy("clave").agg(F.count_distinct("particion").alias("n_particiones"), F.count(F.lit(1)).alias("n")).where("n_particiones > 1")

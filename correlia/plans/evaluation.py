@@ -186,6 +186,19 @@ def leak_near_duplicates(spark, d):
     return D.contained(D.ngrams(e.where("particion <> 'train'"), "ejemplo_id", "text"), D.ngrams(e.where("particion = 'train'"), "ejemplo_id", "text"))
 
 
+_WORDS = "string_split(trim(regexp_replace(lower(regexp_replace(regexp_replace(text, '[<\\[]\\s*/?\\s*[eE][12]\\s*[>\\]]', ' ', 'g'), '[^\\p{L}\\p{N}\\s\\x{00A0}]+', ' ', 'g')), '[\\s\\x{00A0}]+', ' ', 'g')), ' ')"
+
+
+@plan(f"""WITH w AS (SELECT ejemplo_id, CASE WHEN particion = 'train' THEN 'train' ELSE 'eval' END AS lado, {_WORDS} AS w FROM ejemplos WHERE particion IS NOT NULL), g AS (SELECT ejemplo_id, lado, CASE WHEN w <> [''] THEN list_sort(list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' ')))) END AS g FROM w)
+SELECT ejemplo_id, lado, CASE WHEN g IS NOT NULL THEN min(ejemplo_id) OVER (PARTITION BY lado, g) END AS clase FROM g""")
+def leak_near_duplicate_classes(spark, d):
+    """Side and class of every row that has a split; the pairs of leak_near_duplicates are pairs of these classes. A text without words has none."""
+    e = read(spark, d, "ejemplos").where("particion is not null")
+    sides = {"eval": e.where("particion <> 'train'"), "train": e.where("particion = 'train'")}
+    per = [x.select("ejemplo_id", F.lit(k).alias("lado")).join(D.membership(D.ngrams(x, "ejemplo_id", "text")).withColumnRenamed("id", "ejemplo_id"), "ejemplo_id", "left") for k, x in sides.items()]
+    return per[0].unionByName(per[1])
+
+
 @plan("""SELECT m.id_item, m.anotador, epoch_us(m.juzgado_en) AS t, j.rel FROM muestra_precision_50 m JOIN (SELECT o, regulador, blanco, arg_min(relacion, id_item) AS rel FROM (SELECT *, trim(regexp_replace(lower(oracion), '\\s+', ' ', 'g')) AS o FROM juicio_consolidado) z GROUP BY 1, 2, 3) j ON j.o = trim(regexp_replace(lower(m.oracion), '\\s+', ' ', 'g')) AND j.regulador = m.regulador AND j.blanco = m.blanco""")
 def judgement_join(spark, d):
     """Judgements by sentence, regulator and target, the first of equal keys."""

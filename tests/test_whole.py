@@ -35,3 +35,13 @@ def test_caps_are_the_k_they_are_given(spark):
     rows = spark.range(300).select(F.lit("A").alias("tf"), F.lit("b").alias("target"), F.col("id").cast("string").alias("pmid"), F.lit("x").alias("seccion"), F.lit(0).alias("n"), "id", F.concat(F.lit("s"), "id").alias("s"))
     assert [network.cap(rows, k).count() for k in (2, 250)] == [2, 250] and network.cap(rows).count() == network.CAP == 200
     assert [mentions.capped_sentences(rows, ["tf", "target"], "s", "id", k).count() for k in (2, 200)] == [2, 200]
+
+
+def test_every_row_of_a_leak_class_is_named(spark, query):
+    base = " ".join(f"w{i}" for i in range(40))
+    rows = [(i, base, "train" if i % 2 else "test") for i in range(1, 21)] + [(30, base + " extra", "dev"), (31, "alone", "dev"), (32, None, "dev"), (33, "...", "train")]
+    df = spark.createDataFrame(rows, "ejemplo_id int, text string, particion string")
+    of = {r.ejemplo_id: (r.lado, r.clase) for r in query("leak_near_duplicate_classes", ejemplos=df).collect()}
+    assert of == {**{i: ("train", 1) if i % 2 else ("eval", 2) for i in range(1, 21)}, 30: ("eval", 30), 31: ("eval", 31), 32: ("eval", None), 33: ("train", None)}
+    pairs = {(r.a, r.b) for r in query("leak_near_duplicates", ejemplos=df).collect()}
+    assert {i for i, (side, c) in of.items() if side == "eval" and c in {a for a, _ in pairs}} == {*range(2, 21, 2), 30}
