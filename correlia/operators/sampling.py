@@ -12,6 +12,15 @@ def hash_order(seed: str, *cols: str) -> Column:
     return F.sha2(F.concat_ws("|", F.lit(seed), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols]), 256)
 
 
+def ranked(df: DataFrame, block: Column, order: list, rank: str) -> DataFrame:
+    """Rows with their place from 1 in order of block and `order`. Only a block is sorted in one task; equal rows of `order` fall in one block."""
+    rows = df.withColumn("__b", block)
+    sizes = rows.groupBy("__b").agg(F.count(F.lit(1)).alias("__m"))
+    before = sizes.select("__b", (F.sum("__m").over(W.orderBy("__b").rowsBetween(W.unboundedPreceding, 0)) - F.col("__m")).alias("__before"))
+    within = rows.withColumn("__r", F.row_number().over(W.partitionBy("__b").orderBy(*order)))
+    return within.join(before, within["__b"].eqNullSafe(before["__b"])).withColumn(rank, F.col("__before") + F.col("__r")).drop("__b", "__before", "__r")
+
+
 def lowest_by_hash(df: DataFrame, group: list[str], k: int, seed: str, *cols: str) -> DataFrame:
     """k rows of each group with the lowest hash; equal hashes go by the columns."""
     ranked = df.withColumn("__h", hash_order(seed, *cols))
@@ -32,11 +41,23 @@ def keep_lowest(df: DataFrame, key: Column, order: str) -> DataFrame:
     return keyed.join(low, "__key", "left").where(F.col("__low").isNull() | (F.col(order) == F.col("__low"))).drop("__key", "__low")
 
 
-def negatives(candidates: DataFrame, positives: DataFrame, curated: DataFrame, article: str, pair: list[str], k: int, seed: str, id_col: str) -> DataFrame:
-    """k negatives from articles with positives: pairs that are curated in neither direction, by hash."""
+def eligible_negatives(candidates: DataFrame, positives: DataFrame, curated: DataFrame, article: str, pair: list[str]) -> DataFrame:
+    """Pairs from articles with positives that are curated in neither direction."""
     a, b = pair
     both = curated.select(a, b).unionByName(curated.select(F.col(b).alias(a), F.col(a).alias(b))).distinct()
-    pool = candidates.where(F.col(a) != F.col(b)).join(positives.select(article).distinct(), article, "left_semi").join(both, pair, "left_anti")
+    return candidates.where(F.col(a) != F.col(b)).join(positives.select(article).distinct(), article, "left_semi").join(both, pair, "left_anti")
+
+
+def balanced_negatives(candidates: DataFrame, positives: DataFrame, curated: DataFrame, article: str, pair: list[str], seed: str, id_col: str, share: float = 1.0) -> DataFrame:
+    """`share` times as many negatives by hash as there are positives, or all if there are fewer."""
+    pool = eligible_negatives(candidates, positives, curated, article, pair).withColumn("__h", hash_order(seed, article, id_col))
+    k = positives.agg(F.rint(F.count(F.lit(1)) * share).cast("long").alias("__n"))
+    return ranked(pool, F.substring("__h", 1, 3), ["__h", id_col], "__k").crossJoin(F.broadcast(k)).where("__k <= __n").drop("__h", "__k", "__n")
+
+
+def negatives(candidates: DataFrame, positives: DataFrame, curated: DataFrame, article: str, pair: list[str], k: int, seed: str, id_col: str) -> DataFrame:
+    """k negatives from articles with positives: pairs that are curated in neither direction, by hash."""
+    pool = eligible_negatives(candidates, positives, curated, article, pair)
     return pool.withColumn("__h", hash_order(seed, article, id_col)).orderBy("__h", id_col).limit(k).drop("__h")
 
 

@@ -47,6 +47,15 @@ def training_negatives(spark, d):
     return S.negatives(rows, pos, pos, "pm", ["tf", "target"], 50, "n", "ejemplo_id").select("ejemplo_id")
 
 
+@plan("""WITH pos AS (SELECT DISTINCT coalesce(trim(pmid), '') AS pm FROM ejemplos WHERE lower(trim(label)) = 'activates'), cur AS (SELECT tf AS a, target AS b FROM ejemplos WHERE lower(trim(label)) = 'activates' UNION SELECT target, tf FROM ejemplos WHERE lower(trim(label)) = 'activates')
+SELECT ejemplo_id FROM (SELECT ejemplo_id, row_number() OVER (ORDER BY sha256(concat_ws('|', 'n', coalesce(trim(pmid), ''), CAST(ejemplo_id AS VARCHAR))), ejemplo_id) AS k FROM ejemplos e WHERE tf <> target AND coalesce(trim(pmid), '') IN (SELECT pm FROM pos) AND NOT EXISTS (SELECT 1 FROM cur WHERE cur.a = e.tf AND cur.b = e.target)) x WHERE k <= (SELECT round(1.0 * count(*)) FROM ejemplos WHERE lower(trim(label)) = 'activates')""")
+def training_negatives_balanced(spark, d):
+    """As many negatives by hash as there are positives, from articles with positives, curated in neither direction."""
+    rows = read(spark, d, "ejemplos").select("ejemplo_id", "tf", "target", F.coalesce(F.trim("pmid"), F.lit("")).alias("pm"), F.lower(F.trim("label")).alias("l"))
+    pos = rows.where("l = 'activates'")
+    return S.balanced_negatives(rows, pos, pos, "pm", ["tf", "target"], "n", "ejemplo_id").select("ejemplo_id")
+
+
 @plan()
 def group_folds(spark, d):
     """Five folds of whole articles."""

@@ -45,3 +45,13 @@ def test_every_row_of_a_leak_class_is_named(spark, query):
     assert of == {**{i: ("train", 1) if i % 2 else ("eval", 2) for i in range(1, 21)}, 30: ("eval", 30), 31: ("eval", 31), 32: ("eval", None), 33: ("train", None)}
     pairs = {(r.a, r.b) for r in query("leak_near_duplicates", ejemplos=df).collect()}
     assert {i for i, (side, c) in of.items() if side == "eval" and c in {a for a, _ in pairs}} == {*range(2, 21, 2), 30}
+
+
+def test_as_many_negatives_as_positives(spark, query):
+    """120 positives, and 200 pairs of the same article that are no positives."""
+    df = spark.range(320).select(F.col("id").alias("ejemplo_id"), F.concat(F.lit("t"), "id").alias("tf"), F.lit("g").alias("target"), F.lit("1").alias("pmid"), F.when(F.col("id") < 120, "activates").otherwise("no_relation").alias("label"))
+    got = [r[0] for r in query("training_negatives_balanced", ejemplos=df).collect()]
+    assert len(got) == len(set(got)) == 120 and min(got) >= 120
+    few = [r[0] for r in query("training_negatives_balanced", ejemplos=df.where("ejemplo_id < 150")).collect()]
+    assert sorted(few) == list(range(120, 150))
+    assert {r[0] for r in query("training_negatives", ejemplos=df).collect()} <= set(got)
