@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from correlia.operators import evaluate as E
 from correlia.operators import network as N
 from correlia.plans.base import plan
+from correlia.plans.operons import gene_values, loci
 from correlia.runtime import read
 
 #: Scores stand in for a classifier's: the label gets 0.50 to 0.99 by the row's id, the other classes share the rest.
@@ -124,6 +125,15 @@ def network_expansion(spark, d):
     return N.expand_groups(edge, members)
 
 
+@plan()
+def network_expansion_whole(spark, d):
+    """Edges to a group expanded to its members, whatever the notation of either list; cells of a single name are regulators."""
+    one = gene_values(spark, d).groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.min("valor").alias("tf")).where("n = 1 and length(tf) > 1")
+    edge = read(spark, d, "operones_bronze").select("id", F.col("id_fuente").alias("target")).join(one, "id").select("tf", "target")
+    members = loci(spark, d).select(F.col("id_fuente").alias("grupo"), F.explode("genes").alias("miembro")).distinct()
+    return N.expand_groups(edge, members)
+
+
 @plan(f"SELECT nodo, sum(s) AS sale, sum(e) AS entra FROM (SELECT tf AS nodo, 1 AS s, 0 AS e FROM {_EDGES} x UNION ALL SELECT target, 0, 1 FROM {_EDGES} x) y GROUP BY 1")
 def network_degrees(spark, d):
     """How many edges leave and reach each node."""

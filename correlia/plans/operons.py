@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from correlia.functions import text as X
 from correlia.operators import operons as O
+from correlia.operators import packed_values as V
 from correlia.plans.base import plan
 from correlia.runtime import read
 
@@ -19,6 +20,13 @@ def loci(spark: SparkSession, d: str) -> DataFrame:
     return o.select("id", "id_fuente", F.split_part("id_fuente", F.lit("-"), F.lit(1)).alias("fuente"), "cadena", "tipo_evidencia", "pmid", genes.alias("genes"))
 
 
+def gene_values(spark: SparkSession, d: str) -> DataFrame:
+    """(id, posicion, valor): the names of genes_raw, whatever their notation."""
+    o = read(spark, d, "operones_bronze")
+    v = V.split_values(o.select(F.lit("genes_raw").alias("campo"), F.col("id").cast("string").alias("clave"), F.col("genes_raw").alias("cell")))
+    return v.select(F.col("clave").cast("long").alias("id"), "posicion", "valor")
+
+
 _KEY = "array_to_string(list_sort(list_distinct(genes)), '|')"
 
 
@@ -92,9 +100,10 @@ def operon_natural_order(spark, d):
 @plan()
 def operon_names(spark, d):
     """Short names of groups from their genes."""
-    o = read(spark, d, "operones_bronze").where(F.col("genes_raw").like("%|%"))
-    genes = F.filter(F.transform(F.split("genes_raw", r"\|"), lambda x: F.trim(x)), lambda x: x.rlike("^[a-z]{3}[A-Z]$"))
-    return o.select("id", O.operon_name(genes).alias("nombre"))
+    v = gene_values(spark, d).where(F.col("valor").rlike("^[a-z]{3}[A-Z]$"))
+    genes = v.groupBy("id").agg(F.transform(F.sort_array(F.collect_list(F.struct("posicion", "valor"))), lambda x: x["valor"]).alias("genes"))
+    o = read(spark, d, "operones_bronze").where("genes_raw is not null").select("id")
+    return o.join(genes, "id", "left").select("id", F.coalesce(O.operon_name(F.col("genes")), F.lit("")).alias("nombre"))
 
 
 @plan("SELECT json_extract_string(registro_raw, '$.fuente') AS fuente, json_extract_string(registro_raw, '$.definition') AS definicion, count(*) AS n FROM operones_bronze WHERE registro_raw IS NOT NULL GROUP BY 1, 2")

@@ -55,3 +55,19 @@ def test_as_many_negatives_as_positives(spark, query):
     few = [r[0] for r in query("training_negatives_balanced", ejemplos=df.where("ejemplo_id < 150")).collect()]
     assert sorted(few) == list(range(120, 150))
     assert {r[0] for r in query("training_negatives", ejemplos=df).collect()} <= set(got)
+
+
+def test_gene_lists_of_any_notation(spark, query):
+    """Each group is written in seven ways, and has one regulator in a row of its own."""
+    rows = []
+    for k in range(20):
+        x, y = chr(97 + k), chr(65 + k)
+        names, tags = [f"{x}ab{c}" for c in "CDE"], [f"PA{1000 + 10 * k + j}" for j in range(3)]
+        for j, put in enumerate(["|".join, ";".join, ", ".join, "/".join, "\t".join, lambda v: str(v).replace("'", '"'), lambda v: ",".join(f'"{z}"' for z in v)]):
+            rows.append((len(rows), f"S{j}-{k}", put(names), put(tags)))
+        rows.append((len(rows), f"R-{k}", f"{x}eg{y}", "{" + ", ".join(tags) + "}"))
+    df = spark.createDataFrame(rows, "id long, id_fuente string, genes_raw string, locus_tags string").withColumns({c: F.lit(None).cast("string") for c in ("cadena", "tipo_evidencia", "pmid")})
+    named = {r.id: r.nombre for r in query("operon_names", operones_bronze=df).collect()}
+    assert named == {i: g if f[0] == "R" else f"{chr(97 + int(f.split('-')[1]))}abCDE" for i, f, g, _ in rows}
+    got = {tuple(r) for r in query("network_expansion_whole", operones_bronze=df).collect()}
+    assert got == {(g, f, "") for _, f, g, _ in rows if f[0] == "R"} | {(g, f"PA{1000 + 10 * int(f.split('-')[1]) + j}", f) for _, f, g, _ in rows if f[0] == "R" for j in range(3)}
