@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from correlia.functions import text as X
 from correlia.operators import operons as O
 from correlia.operators import packed_values as V
+from correlia.operators.sampling import ranked
 from correlia.plans.base import plan
 from correlia.runtime import read
 
@@ -97,6 +98,17 @@ def operon_natural_order(spark, d):
     return o.orderBy("num").limit(25)
 
 
+@plan("""SELECT fuente, id_fuente, row_number() OVER (ORDER BY fuente, num = '', length(ltrim(num, '0')), ltrim(num, '0'), id_fuente) AS puesto FROM (SELECT DISTINCT split_part(id_fuente, '-', 1) AS fuente, id_fuente, regexp_extract(id_fuente, '([0-9]+)$', 1) AS num FROM operones_bronze WHERE id_fuente IS NOT NULL) x""")
+def operon_natural_rank(spark, d):
+    """T5: place of every entry of every source in natural order; ids that end in no number come last."""
+    o = read(spark, d, "operones_bronze").where("id_fuente is not null").select("id_fuente").distinct()
+    num = F.regexp_extract("id_fuente", "([0-9]+)$", 1)
+    # Numbers of any length compare as text by length, then digits.
+    o = o.select(F.split_part("id_fuente", F.lit("-"), F.lit(1)).alias("fuente"), "id_fuente", (num == "").alias("sin"), F.regexp_replace(num, "^0+", "").alias("num"))
+    block = F.struct("fuente", "sin", F.length("num").alias("n"), F.expr("left(num, length(num) - 3)").alias("miles"))
+    return ranked(o, block, ["num", "id_fuente"], "puesto").select("fuente", "id_fuente", "puesto")
+
+
 @plan()
 def operon_names(spark, d):
     """Short names of groups from their genes."""

@@ -71,3 +71,15 @@ def test_gene_lists_of_any_notation(spark, query):
     assert named == {i: g if f[0] == "R" else f"{chr(97 + int(f.split('-')[1]))}abCDE" for i, f, g, _ in rows}
     got = {tuple(r) for r in query("network_expansion_whole", operones_bronze=df).collect()}
     assert got == {(g, f, "") for _, f, g, _ in rows if f[0] == "R"} | {(g, f"PA{1000 + 10 * int(f.split('-')[1]) + j}", f) for _, f, g, _ in rows if f[0] == "R" for j in range(3)}
+
+
+def test_every_entry_of_every_source_has_its_place(spark, query):
+    ids = [f"{f}-{n}" for f in ("PGD", "ODB", "BIOCYC") for n in range(1, 1501)] + ["ODB-x", "ODB-007", "ODB-123456789012345678901234567890", "ODB-0"]
+    df = spark.createDataFrame([(i,) for i in [*ids, *ids[:9], None]], "id_fuente string")
+    got = [r.id_fuente for r in sorted(query("operon_natural_rank", operones_bronze=df).collect(), key=lambda r: r.puesto)]
+
+    def key(i):
+        f, n = i.split("-")
+        return f, not n.isdigit(), int(n) if n.isdigit() else 0, i
+
+    assert got == sorted(ids, key=key)
