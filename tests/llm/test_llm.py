@@ -332,6 +332,42 @@ def test_prose_or_not(text, junk):
     assert (got["no_prosa"] > 0.5) == junk, got
 
 
+UNLISTED = {
+    "nl": "De onderzoekers vonden dat de bacterie sneller groeide wanneer de temperatuur langzaam steeg. Daarna werd het monster in de koelkast bewaard en opnieuw gemeten.",
+    "pl": "Badacze zauważyli, że bakterie rosły szybciej, gdy temperatura powoli wzrastała. Następnie próbkę umieszczono w lodówce i ponownie zmierzono.",
+    "tr": "Araştırmacılar sıcaklık yavaşça yükseldiğinde bakterilerin daha hızlı büyüdüğünü buldu. Daha sonra örnek buzdolabına kondu ve yeniden ölçüldü.",
+    "ko": "연구자들은 온도가 천천히 올라갈 때 세균이 더 빨리 자란다는 것을 발견했다. 그 후 시료를 냉장고에 넣고 다시 측정했다.",
+    "el": "Οι ερευνητές διαπίστωσαν ότι τα βακτήρια αναπτύσσονταν ταχύτερα όταν η θερμοκρασία ανέβαινε αργά. Στη συνέχεια το δείγμα μπήκε στο ψυγείο.",
+    "fi": "Tutkijat havaitsivat bakteerien kasvavan nopeammin lämpötilan noustessa hitaasti. Tämän jälkeen näyte siirrettiin jääkaappiin ja mitattiin uudelleen.",
+    "vi": "Các nhà nghiên cứu nhận thấy vi khuẩn phát triển nhanh hơn khi nhiệt độ tăng chậm. Sau đó mẫu được đặt vào tủ lạnh và đo lại.",
+    "sw": "Watafiti waligundua kwamba bakteria walikua haraka zaidi wakati joto lilipopanda polepole. Baadaye sampuli iliwekwa kwenye jokofu na kupimwa tena.",
+    "sv": "Forskarna fann att bakterierna växte snabbare när temperaturen steg långsamt. Därefter ställdes provet i kylskåpet och mättes på nytt.",
+    "ro": "Cercetătorii au constatat că bacteriile creșteau mai repede când temperatura urca încet. Apoi proba a fost pusă în frigider și măsurată din nou.",
+    "ka": "მკვლევრებმა აღმოაჩინეს, რომ ბაქტერიები უფრო სწრაფად იზრდებოდა, როცა ტემპერატურა ნელა მატულობდა. შემდეგ ნიმუში მაცივარში მოათავსეს.",
+    "ta": "வெப்பநிலை மெதுவாக உயர்ந்தபோது பாக்டீரியாக்கள் வேகமாக வளர்ந்தன என்று ஆராய்ச்சியாளர்கள் கண்டறிந்தனர். பின்னர் மாதிரி குளிர்சாதனப் பெட்டியில் வைக்கப்பட்டது.",
+}
+
+
+@pytest.mark.parametrize("lang", list(UNLISTED))
+def test_prose_of_a_language_the_corpus_does_not_hold(lang):
+    assert quality.measure(UNLISTED[lang])[-1] == "prosa"
+    learned = quality.Words(frozenset("the of and in a gene".split()), frozenset("the of and in a".split()))
+    assert quality.measure(UNLISTED[lang], learned)[-1] == "prosa"
+
+
+def test_common_words_are_learned_and_tell_salad_from_prose(spark):
+    rnd = random.Random(9)
+    nouns = [f"{a}{b}{c}n" for a in "bdgklmprst" for b in "aeiou" for c in ("lt", "rk", "sp", "nt")]
+    tie = ["oe", "ig", "wa", "eth"]
+    # An invented language: between nouns stand small words; the salad has the nouns alone, in the same sentences.
+    prose = [(i, " ".join(f"{rnd.choice(nouns)} {rnd.choice(tie)} {rnd.choice(nouns)} {rnd.choice(tie)} {rnd.choice(nouns)}".capitalize() + "." for _ in range(12))) for i in range(60)]
+    salad = [(1000 + i, " ".join(" ".join(rnd.choice(nouns) for _ in range(8)).capitalize() + "." for _ in range(8))) for i in range(12)]
+    df = spark.createDataFrame(prose + salad, "doc_id int, text string")
+    assert set(tie) == quality.learn(df).common
+    got = {r.doc_id: r.clase for r in quality.text_statistics(df).collect()}
+    assert {k for k, v in got.items() if v != "prosa"} == {k for k, _ in salad}
+
+
 def test_statistics_of_rows(spark):
     df = spark.createDataFrame([(1, PROSE, 0.0), (1, PROSE, 0.0), (2, None, 0.0), (3, "x" * 300_000, 0.0)], "doc_id int, text string, no_prosa double")
     got = quality.text_statistics(df).collect()
