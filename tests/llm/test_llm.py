@@ -1,6 +1,7 @@
 """The training-data operators against brute force, round trips and hand-made hard cases."""
 
 import random
+import time
 from collections import Counter
 from itertools import combinations
 
@@ -128,6 +129,31 @@ def test_sentence_rows(spark):
     assert sentences.cut_sentences(df.limit(0)).count() == 0
 
 
+def test_rare_words_are_joined_as_if_they_were_broadcast(spark, monkeypatch):
+    texts = [*BACKGROUND, "Xyl. Foo rose to 3 vol. Bar. It fell.", "The xyl. foo fell.", "A xyl. bar rose.", "Foo was red.", "The Foo was old and the Foo was new."]
+    df = spark.createDataFrame([("o", str(i), t, False) for i, t in enumerate(texts)], "origen string, clave string, text string, wrapped boolean")
+    want = {(str(i), a) for i, t in enumerate(cut(texts)) for a in t}
+    assert {(r.clave, r.texto) for r in sentences.cut_sentences(df).collect()} == want
+    # Nothing but what makes a tenth of all tokens is broadcast: the same sentences come out. Shapes are corrected by
+    # common words only, so these stay.
+    monkeypatch.setattr(sentences, "SHARE", 0.01)
+    monkeypatch.setattr(sentences, "COMMON", 0.01)
+    model = Counter()
+    for t in texts:
+        model.update(sentences.evidence(t, False))
+    judge = sentences.Judge(sentences.shapes_of_the_rest(dict(model), sum(v for (k, _), v in model.items() if k in ("plain", "dot", "end"))))
+    want = {(str(i), t[a:b]) for i, t in enumerate(texts) for a, b in sentences.boundaries(t, False, judge)}
+    assert {(r.clave, r.texto) for r in sentences.cut_sentences(df).collect()} == want
+
+
+@pytest.mark.parametrize("text", ['The gene (to 3.5 in the "old strain. It fell e.g. A.B. then; ' * 9000, " " * 600_000 + "x. Y", "a" + "." * 600_000 + "b", 'a."' + '"' * 600_000 + "b", "他上升a.b.c了，而下降" * 40_000, "a) " * 200_000])
+def test_long_texts_take_linear_time(text):
+    began = time.perf_counter()
+    spans = sentences.boundaries(text, False, sentences.Judge({}))
+    assert time.perf_counter() - began < 30
+    assert sum(len(text[a:b].replace(" ", "")) for a, b in spans) == len(text.replace(" ", ""))
+
+
 # 4: co-occurrence
 
 
@@ -357,10 +383,10 @@ def test_prose_of_a_language_the_corpus_does_not_hold(lang):
 
 def test_common_words_are_learned_and_tell_salad_from_prose(spark):
     rnd = random.Random(9)
-    nouns = [f"{a}{b}{c}n" for a in "bdgklmprst" for b in "aeiou" for c in ("lt", "rk", "sp", "nt")]
+    nouns = [f"{a}{b}{c}{d}n" for a in "bdgklmprst" for b in "aeiou" for c in ("lt", "rk", "sp", "nt") for d in "ao"]
     tie = ["oe", "ig", "wa", "eth"]
     # An invented language: between nouns stand small words; the salad has the nouns alone, in the same sentences.
-    prose = [(i, " ".join(f"{rnd.choice(nouns)} {rnd.choice(tie)} {rnd.choice(nouns)} {rnd.choice(tie)} {rnd.choice(nouns)}".capitalize() + "." for _ in range(12))) for i in range(60)]
+    prose = [(i, " ".join(f"{rnd.choice(nouns)} {rnd.choice(tie)} {rnd.choice(nouns)} {rnd.choice(tie)} {rnd.choice(nouns)}".capitalize() + "." for _ in range(12))) for i in range(350)]
     salad = [(1000 + i, " ".join(" ".join(rnd.choice(nouns) for _ in range(8)).capitalize() + "." for _ in range(8))) for i in range(12)]
     df = spark.createDataFrame(prose + salad, "doc_id int, text string")
     assert set(tie) == quality.learn(df).common
