@@ -2,9 +2,11 @@
 
 Texts are measured in tokens of a public tokenizer; those longer than a container are cut into full pieces and
 a rest. All planning is done on the histogram of piece sizes, at most CAPACITY numbers whatever the input:
-patterns of few sizes that fill a container (nearly) are enumerated, their repeat counts fitted to the histogram by
-non-negative least squares and rounded to what is there, and the residual histogram is packed by best fit, again
-pattern by pattern. The plan says which ranks of each size go to which containers; it is bounded by the
+patterns of at most FEW sizes that fill a container (nearly) have their repeat counts fitted to the histogram by
+non-negative least squares, are rounded to what is there, and the residual histogram is packed by best fit, again
+pattern by pattern. Which of the many millions of such patterns take part is not cut off: each round of the fit prices all
+of them at what the histogram still lacks, by a dynamic programme over (number of sizes, tokens), and takes in the best one
+for every size; it ends when no pattern left out would lessen the misfit by GAIN of it. The plan says which ranks of each size go to which containers; it is bounded by the
 patterns and broadcast. The rank of a piece among those of its size is counted in RANK_BLOCKS blocks per size, so
 that a size that many pieces share is not ranked in one task.
 
@@ -30,8 +32,8 @@ CAPACITY, RANK_BLOCKS = 2048, 256
 TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: Fixed value: how the byte-level BPE vocabularies cut text before merging.
 PRETOKENS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Patterns: partners tried per size, documents per pattern, tokens that may stay empty.
-PARTNERS, FEW, SLACK, STEPS = 24, 4, 4, 300
+#: Patterns: documents of one, tokens that may stay empty; steps of a fit; share of the misfit that another round must win.
+FEW, SLACK, STEPS, GAIN = 4, 4, 40, 0.3
 #: Shares of the fitted repeats that are tried; 1 rounds to the nearest, the others down.
 ROUNDINGS = (1, 0.999, 0.8, 0.5)
 
@@ -63,14 +65,13 @@ def fit_patterns(hist: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
     capacity = len(hist) - 1
     whole = hist.astype(np.int64).copy()
     whole[0] = 0
-    patterns = _few_documents(whole)
+    patterns, x = _fitted(whole)
     if not patterns:
         return _best_fit(whole)
-    index = np.zeros((len(patterns), max(map(len, patterns))), dtype=np.int64)
+    index = np.zeros((len(patterns), FEW), dtype=np.int64)
     for i, p in enumerate(patterns):
         index[i, : len(p)] = p
     used = index > 0
-    x = _nnls(index, used, whole.astype(float))
     order = np.lexsort((-x, capacity - index.sum(axis=1)))
     best: list[tuple[tuple[int, ...], int]] = []
     # Small pieces are worth keeping for the residual: of the ways to round the repeats the best is kept.
@@ -89,40 +90,67 @@ def fit_patterns(hist: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
     return best
 
 
-def _few_documents(hist: np.ndarray) -> list[tuple[int, ...]]:
-    """Patterns of 1 to FEW sizes that leave at most SLACK empty. Each size meets its likely partners."""
-    capacity = len(hist) - 1
-    present = np.flatnonzero(hist)
-    # For each room, the largest present size that fits.
-    fits = np.zeros(capacity + 1, dtype=np.int64)
-    last = 0
-    for room in range(1, capacity + 1):
-        last = room if hist[room] else last
-        fits[room] = last
-    out = set()
-    common = present[np.argsort(-hist[present], kind="stable")][: PARTNERS]
-    spread = present[np.unique(np.linspace(0, len(present) - 1, min(PARTNERS, len(present))).astype(int))] if len(present) else present
-    partners = sorted({*common.tolist(), *spread.tolist()})
-    for a in present.tolist():
-        stack = [(a,)]
-        while stack:
-            p = stack.pop()
-            room = capacity - sum(p)
-            if 0 <= room <= SLACK:
-                out.add(tuple(sorted(p, reverse=True)))
-                continue
-            if len(p) >= FEW or room <= 0:
-                continue
-            if (c := int(fits[room])) and room - c <= SLACK:
-                out.add(tuple(sorted((*p, c), reverse=True)))
-            if len(p) + 2 <= FEW:
-                step = partners if len(p) == 1 else partners[:: max(1, len(partners) // 6)]
-                stack += [(*p, b) for b in step if b <= min(room, p[-1] if len(p) > 1 else room)]
-    return sorted(out, key=lambda p: (capacity - sum(p), len(p), p))[:60_000]
-
-
-def _nnls(index: np.ndarray, used: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """min |A x - target|, x >= 0, by accelerated projected gradient; A has a 1 for each size of a pattern."""
+def _priced(price: np.ndarray, present: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], float]]:
+    """For every present size the dearest pattern with it, of at most FEW sizes, that leaves at most SLACK empty; and what it is worth."""
+    # best[k][c]: worth of k sizes that make exactly c tokens; last[k][c]: one of them.
+    best, last = [np.full(capacity + 1, -np.inf)], [np.zeros(capacity + 1, dtype=np.int64)]
+    best[0][0] = 0.0
+    pay = price[present]
+    for _ in range(FEW - 1):
+        now, came = np.full(capacity + 1, -np.inf), np.zeros(capacity + 1, dtype=np.int64)
+        for s, v in zip(present.tolist(), pay.tolist()):
+            got = best[-1][: capacity + 1 - s] + v
+            better = got > now[s:]
+            now[s:][better], came[s:][better] = got[better], s
+        best.append(now)
+        last.append(came)
+    out = []
+    table = np.array(best)
+    for a, v in zip(present.tolist(), pay.tolist()):
+        low = max(0, capacity - SLACK - a)
+        room = table[:, low : capacity - a + 1]
+        k, c = divmod(int(room.argmax()), room.shape[1])
+        if room[k, c] == -np.inf:
+            continue
+        c += low
+        sizes = [a]
+        worth = v + table[k, c]
+        while k:
+            s = int(last[k][c])
+            sizes.append(s)
+            k, c = k - 1, c - s
+        out.append((tuple(sorted(sizes, reverse=True)), float(worth)))
+    return out
+
+
+def _fitted(whole: np.ndarray) -> tuple[list[tuple[int, ...]], np.ndarray]:
+    """Patterns and their fitted repeats: those taken in are, up to GAIN, as good as all patterns together."""
+    capacity = len(whole) - 1
+    target = whole.astype(float)
+    present = np.flatnonzero(whole)
+    patterns: dict[tuple[int, ...], None] = {}
+    x, lack = np.zeros(0), target
+    misfit = float(target @ target)
+    while True:
+        new = [p for p, worth in _priced(lack, present, capacity) if worth > 0.5 and p not in patterns]
+        if not new:
+            break
+        patterns.update(dict.fromkeys(sorted(set(new))))
+        index = np.zeros((len(patterns), FEW), dtype=np.int64)
+        for i, p in enumerate(patterns):
+            index[i, : len(p)] = p
+        used = index > 0
+        x = _nnls(index, used, target, np.concatenate([x, np.zeros(len(patterns) - len(x))]))
+        lack = target - np.bincount(index[used], weights=x[np.nonzero(used)[0]], minlength=capacity + 1)
+        now = float(lack @ lack)
+        if now > (1 - GAIN) * misfit:
+            break
+        misfit = now
+    return list(patterns), x
+
+
+def _nnls(index: np.ndarray, used: np.ndarray, target: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """min |A x - target|, x >= 0, by accelerated projected gradient from `start`; A has a 1 for each size of a pattern."""
     n = len(target)
     flat, rows = index[used], np.nonzero(used)[0]
 
@@ -137,7 +165,7 @@ def _nnls(index: np.ndarray, used: np.ndarray, target: np.ndarray) -> np.ndarray
         v = back(forward(v))
         v /= np.linalg.norm(v) or 1.0
     bound = float(np.linalg.norm(back(forward(v)))) * 1.01 or 1.0
-    x = y = np.zeros(len(index))
+    x = y = start
     t = 1.0
     for _ in range(STEPS):
         z = np.maximum(0.0, y - back(forward(y) - target) / bound)

@@ -299,6 +299,21 @@ def test_plan_uses_every_piece_once(sizes):
     assert used == Counter(sizes)
 
 
+@pytest.mark.parametrize("times", [1, 100])
+def test_fill_of_many_different_sizes(times):
+    import numpy as np
+
+    hist = np.bincount(np.random.default_rng(1).integers(1, 513, 5000), minlength=513) * times
+    plan = packing.fit_patterns(hist)
+    used = Counter()
+    for pattern, repeats in plan:
+        for s in pattern:
+            used[s] += repeats
+    assert used == Counter({s: int(n) for s, n in enumerate(hist) if n})
+    least = -(-int((hist * np.arange(513)).sum()) // 512)
+    assert sum(r for _, r in plan) <= 1.01 * least
+
+
 # 8: leaks
 
 
