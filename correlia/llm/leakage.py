@@ -3,23 +3,31 @@
 The items are the index, every passage of every document is a query. Terms are pairs of adjacent words (for items in Chinese,
 trigrams of characters) with case, marks, markup and character forms looked aside. An item's threshold is a
 fixed share of the least BM25 score of any stretch of half its words: what is left of it after more than one
-word in ten is gone. Terms whose scores together cannot reach the threshold are not essential: a passage without an essential
-term of an item is never looked at. For the others, sums of block maxima over BLOCK items at a time rule out
-most blocks, and only the blocks left are scored in full. What reaches its threshold is verified by a local
-alignment in order.
+word in ten is gone. Terms whose scores together cannot reach the threshold are not essential.
+
+A passage is answered by block-max WAND over blocks of BLOCK items: its essential terms' lists stand at their next block, in
+order; the first place at which their greatest scores together reach the least any block asks for is the pivot;
+blocks before it are skipped, the pivot is dropped if the maxima of its own block fall short, and only otherwise
+are its items scored in full. Passages that have no pivot at all are told apart beforehand, many at a time. Every item
+that reaches its threshold is verified by the best local alignment in order, over all matching words.
 
 Passages overlap by half and are as long as twice the longest stretch asked for, so every such stretch lies whole in
-one. Documents are handled whole, in one pass, without a shuffle. Items are taken ITEMS at a time, so the index that
-is broadcast is bounded whatever their number.
+one. Documents are handled whole, without a shuffle. An index holds about ITEMS items at most, and one pass over the documents
+carries TOGETHER indexes, so what is broadcast is bounded whatever the number of items.
+
+The items of this project are running text without a marked question or answer: the opening half stands for the one and the
+closing half for the other, and their coverage is reported apart.
 
-Defined cases: null and empty documents or items match nothing; items of fewer than LEAST words are not searched for;
-repeated rows of a doc_id or item_id give one result; an empty table gives an empty result.
+Defined cases: null and empty documents or items match nothing; items of fewer than LEAST words, which have no stretch to
+tell them by, are found where all their words stand together in order; repeated rows of a doc_id or item_id give one
+result; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Iterator
 from math import ceil
 
@@ -28,13 +36,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HALF, LOST, K1, B, BLOCK, ITEMS, LEAST = 0.5, 0.12, 1.2, 0.75, 16, 4000, 6
+HALF, LOST, K1, B, BLOCK, ITEMS, TOGETHER, LEAST = 0.5, 0.12, 1.2, 0.75, 16, 4000, 16, 6
 #: Share of the score of half an item that a leak keeps at least: a word lost costs two pairs, a character three trigrams.
 KEPT = 0.42
 #: Alignment: price of an unmatched step; share of the stretch that must match, on the item's and on the document's side.
-STEP, DENSE, DENSE_HERE, REACH = 1.5, 0.8, 0.72, 40
-#: A word is rare in a passage if it stands there at most RARE times; a diagonal needs SIGNS of the item's words as rare ones.
-RARE, SIGNS = 6, 0.15
+STEP, DENSE, DENSE_HERE = 1.5, 0.8, 0.72
 
 _TAG = re.compile(r"</?[A-Za-z][^<>]{0,80}>")
 _GONE = re.compile("[​‌‍⁠﻿­]")
@@ -110,25 +116,33 @@ class Index:
         m = len(self.vocabulary)
         self.blocks = ceil(n / BLOCK)
         full = [(k, i, s) for k in range(m) for i, s in cells[k]]
-        self.start, self.item, self.score = self._postings(full, m)
         top: dict[tuple[int, int], float] = {}
         for k, i, s in full:
             if (k, i) in essential:
                 top[k, i // BLOCK] = max(top.get((k, i // BLOCK), 0.0), s)
-        self.block_start, self.block, self.block_score = self._postings([(k, b, s) for (k, b), s in sorted(top.items())], m)
         self.essential = np.zeros(m, dtype=bool)
         self.essential[[k for k, _ in top]] = True
+        self.most = np.zeros(m)
+        for (k, _), s in top.items():
+            self.most[k] = max(self.most[k], s)
+        # By essential term: its blocks, their maxima, and in each the items it is essential for.
+        inner: dict[int, dict[int, list[tuple[int, float]]]] = {}
+        for k, i, s in full:
+            if (k, i) in essential:
+                inner.setdefault(k, {}).setdefault(i // BLOCK, []).append((i, s))
+        self.lists = {k: (list(b), [max(s for _, s in x) for x in b.values()], list(b.values())) for k, b in inner.items()}
         need = self.threshold - self.rest
-        self.block_need = np.array([need[b * BLOCK : (b + 1) * BLOCK].min() for b in range(self.blocks)])
+        # What essential terms must bring for a block to hold a result; a little less, as sums are rounded.
+        self.block_need = [float(need[b * BLOCK : (b + 1) * BLOCK].min()) - 1e-9 for b in range(self.blocks)]
+        self.need = min(self.block_need, default=0.0)
+        self.impacts: list[dict[int, float]] = [{} for _ in range(n)]
+        for k, i, s in full:
+            self.impacts[i][k] = s
+        self.terms = [frozenset(x) for x in self.impacts]
+        self.threshold, self.rest = self.threshold.tolist(), self.rest.tolist()
         longest = max((len(t) for t in terms), default=2)
         self.half = ceil(longest * HALF * (1 + LOST)) + 2
 
-    @staticmethod
-    def _postings(rows: list[tuple[int, int, float]], m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        key = np.array([r[0] for r in rows], dtype=np.int64)
-        start = np.searchsorted(key, np.arange(m + 1))
-        return start, np.array([r[1] for r in rows], dtype=np.int64), np.array([r[2] for r in rows])
-
     def candidates(self, streams: list[list[str]]) -> list[tuple[int, int, int]]:
         """(stream, item, first position of the passage) of the passages that reach an item's threshold."""
         get = self.vocabulary.get
@@ -145,27 +159,64 @@ class Index:
         first = flat >= 0
         first[first] = self.essential[flat[first]]
         passage, term = self._passages(flat[first], home[first], position[first])
-        row, owner = self._spread(self.block_start, term)
+        # Passages whose essential terms cannot reach any block's need together have no pivot.
         seen, dense = np.unique(passage, return_inverse=True)
-        bound = np.bincount(dense[owner] * self.blocks + self.block[row], weights=self.block_score[row], minlength=len(seen) * self.blocks).reshape(len(seen), self.blocks)
-        alive = bound >= self.block_need[None, :]
-        lives = alive.any(axis=1)
-        seen, alive = seen[lives], alive[lives]
-        if not len(seen):
+        hopeful = np.bincount(dense, weights=self.most[term], minlength=len(seen)) >= self.need
+        mine = hopeful[dense]
+        asked: dict[int, list[int]] = {}
+        for q, k in zip(passage[mine].tolist(), term[mine].tolist()):
+            asked.setdefault(q, []).append(k)
+        if not asked:
             return []
-        known = (flat >= 0) & (np.isin(home, seen) | np.isin(home - 1, seen))
+        known = (flat >= 0) & (np.isin(home, seen[hopeful]) | np.isin(home - 1, seen[hopeful]))
         passage, term = self._passages(flat[known], home[known], position[known])
-        dense = np.minimum(np.searchsorted(seen, passage), len(seen) - 1)
-        mine = seen[dense] == passage
-        term, dense = term[mine], dense[mine]
-        row, owner = self._spread(self.start, term)
-        right = alive[dense[owner], self.item[row] // BLOCK]
-        row, owner = row[right], owner[right]
-        n = len(self.ids)
-        cell, at = np.unique(dense[owner] * n + self.item[row], return_inverse=True)
-        score = np.bincount(at, weights=self.score[row], minlength=len(cell))
-        won = cell[score >= self.threshold[cell % n]]
-        return [(int(seen[c // n] // most), int(c % n), int(seen[c // n] % most) * self.half) for c in won]
+        full: dict[int, set[int]] = {}
+        for q, k in zip(passage.tolist(), term.tolist()):
+            if q in asked:
+                full.setdefault(q, set()).add(k)
+        return [(q // most, i, q % most * self.half) for q, terms in asked.items() for i in self.wand(terms, full[q])]
+
+    def wand(self, terms: list[int], all_terms: set[int]) -> list[int]:
+        """Items whose score in a passage with these essential and these terms altogether reaches their threshold."""
+        # [block it stands at, its place in the list, greatest score, blocks, maxima by block, items by block]
+        heads = [[self.lists[k][0][0], 0, float(self.most[k]), *self.lists[k]] for k in terms]
+        out: list[int] = []
+        while heads:
+            heads.sort(key=lambda h: h[0])
+            bound, pivot = 0.0, None
+            for h in heads:
+                bound += h[2]
+                if bound >= self.need:
+                    pivot = h[0]
+                    break
+            if pivot is None:
+                break
+            if heads[0][0] < pivot:
+                # Blocks before the pivot cannot hold a result.
+                upto = pivot
+            else:
+                here = [h for h in heads if h[0] == pivot]
+                if sum(h[4][h[1]] for h in here) >= self.block_need[pivot]:
+                    sums: dict[int, float] = {}
+                    for h in here:
+                        for i, s in h[5][h[1]]:
+                            sums[i] = sums.get(i, 0.0) + s
+                    for i, got in sums.items():
+                        if got < self.threshold[i] - self.rest[i] - 1e-9:
+                            continue
+                        if sum(map(self.impacts[i].__getitem__, self.terms[i] & all_terms)) >= self.threshold[i] - 1e-9:
+                            out.append(i)
+                upto = pivot + 1
+            left = []
+            for h in heads:
+                if h[0] < upto:
+                    at = bisect_left(h[3], upto, h[1])
+                    if at == len(h[3]):
+                        continue
+                    h[0], h[1] = h[3][at], at
+                left.append(h)
+            heads = left
+        return out
 
     def _passages(self, term: np.ndarray, home: np.ndarray, position: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distinct (passage, term): every word counts in the passage it opens and in the one before."""
@@ -173,48 +224,36 @@ class Index:
         both = np.unique(np.concatenate([home, home[inner] - 1]) * len(self.vocabulary) + np.concatenate([term, term[inner]]))
         return both // len(self.vocabulary), both % len(self.vocabulary)
 
-    @staticmethod
-    def _spread(start: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rows of the postings of each term, and which term each row is for."""
-        count = start[term + 1] - start[term]
-        owner = np.repeat(np.arange(len(term)), count)
-        row = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count) + start[term][owner]
-        return row, owner
-
 
 def align(item: list[str], stream: list[str], begin: int, end: int) -> tuple[int, int, int, int, int] | None:
-    """(matched, item start, item end, start, end) of the best local alignment in order within stream[begin:end]."""
+    """(matched, item start, item end, start, end) of the best local alignment in order within stream[begin:end].
+
+    A match counts 1, a step over unmatched words STEP for each (on the side that skips more). All pairs of equal words take
+    part. None if too few of the item's words stand there for a leak.
+    """
     at: dict[str, list[int]] = {}
     asked = set(item)
     for p in range(max(0, begin), min(end, len(stream))):
         if (x := stream[p]) in asked:
             at.setdefault(x, []).append(p)
-    # A leak runs along a diagonal that rarer words mark; frequent words count only near it.
-    marked: dict[int, int] = {}
-    width = max(4, len(item) // 8)
-    for k, x in enumerate(item):
-        if len(here := at.get(x, ())) <= RARE:
-            for p in here:
-                marked[(p - k) // width] = marked.get((p - k) // width, 0) + 1
-    strong = max(marked, key=lambda d: (marked[d] + marked.get(d + 1, 0), -d), default=None)
-    if strong is None or marked[strong] + marked.get(strong + 1, 0) < SIGNS * len(item):
+    if sum(x in at for x in item) < DENSE * (HALF * len(item) - 1):
         return None
-    low, high = (strong - 1) * width, (strong + 3) * width
-    matches = [(k, p) for k, x in enumerate(item) for p in at.get(x, ()) if low <= p - k < high]
-    best: list[tuple[float, int, int, int]] = []
-    top, found = 0.0, None
-    for n, (k, p) in enumerate(matches):
-        score, matched, k0, p0 = 1.0, 1, k, p
-        for m in range(n - 1, max(-1, n - REACH - 1), -1):
-            kk, pp = matches[m]
-            if kk < k and pp < p:
-                s = best[m][0] + 1.0 - STEP * (max(k - kk, p - pp) - 1)
-                if s > score:
-                    score, matched, k0, p0 = s, best[m][1] + 1, best[m][2], best[m][3]
-        best.append((score, matched, k0, p0))
-        if score > top:
-            top, found = score, (matched, k0, k + 1, p0, p + 1)
-    return found
+    ks = np.array([k for k, x in enumerate(item) for _ in at.get(x, ())])
+    ps = np.array([p for x in item for p in at.get(x, ())])
+    n = len(ks)
+    score, back = np.ones(n), np.full(n, -1)
+    for j in range(1, n):
+        # Sorted by k, then p: a chain comes from matches before, of a smaller k and p; beyond the score at hand none pays.
+        dk, dp = ks[j] - ks[:j], ps[j] - ps[:j]
+        gain = np.where((dk > 0) & (dp > 0), score[:j] - STEP * (np.maximum(dk, dp) - 1), 0.0)
+        m = int(gain.argmax())
+        if gain[m] > 0:
+            score[j], back[j] = 1.0 + gain[m], m
+    j = int(score.argmax())
+    k1, p1, matched = int(ks[j]) + 1, int(ps[j]) + 1, 1
+    while back[j] >= 0:
+        j, matched = int(back[j]), matched + 1
+    return matched, int(ks[j]), k1, int(ps[j]), p1
 
 
 def leaked(item: list[str], found: tuple[int, int, int, int, int] | None) -> bool:
@@ -224,32 +263,63 @@ def leaked(item: list[str], found: tuple[int, int, int, int, int] | None) -> boo
     return b - a >= HALF * len(item) - 1 and matched >= DENSE * (b - a) and matched >= DENSE_HERE * (d - c)
 
 
+class Phrases:
+    """Items too short for a stretch: found where all their words (characters) stand together in order."""
+
+    def __init__(self, items: list[tuple[int, list[str]]], by_character: bool):
+        self.by_character = by_character
+        self.ids, self.tokens = [i for i, _ in items], [t for _, t in items]
+        self.first: dict[str, list[int]] = {}
+        for j, t in enumerate(self.tokens):
+            self.first.setdefault(t[0], []).append(j)
+
+    def candidates(self, stream: list[str]) -> set[int]:
+        return {j for p, x in enumerate(stream) for j in self.first.get(x, ()) if stream[p : p + len(self.tokens[j])] == self.tokens[j]}
+
+
+def covered(a: int, b: int, lo: float, hi: float) -> float:
+    """Share of [lo, hi) that lies in [a, b)."""
+    return max(0.0, min(b, hi) - max(a, lo)) / (hi - lo)
+
+
 def find_leaks(documents: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", item_lang: str = "lang") -> DataFrame:
-    """(id_col, item_id, proporcion, coinciden): the documents that hold at least half of an item in one stretch; share of the item covered, and words matched."""
+    """(id_col, item_id, proporcion, coinciden, inicio, final): the documents that hold at least half of an item in one stretch.
+
+    Share of the item covered, words matched, and the shares covered of its opening and of its closing half.
+    """
     spark = documents.sparkSession
     kind, item_kind = dict(documents.dtypes)[id_col], dict(items.dtypes)[item_id]
-    schema = f"{id_col} {kind}, {item_id} {item_kind}, proporcion double, coinciden int"
+    schema = f"{id_col} {kind}, {item_id} {item_kind}, proporcion double, coinciden int, inicio double, final double"
     keyed = items.select(F.col(item_id).alias("i"), F.col(item_text).alias("t"), F.col(item_lang).alias("l")).where("i is not null and t is not null").groupBy("i").agg(F.min(F.struct("t", "l")).alias("m"))
     parts = max(1, ceil(keyed.count() / (ITEMS / 2)))
+    keyed = keyed.select("i", "m.t", "m.l", F.pmod(F.xxhash64("i"), F.lit(parts)).alias("part"))
     out = None
-    for part in range(parts):
-        rows = keyed.where(F.pmod(F.xxhash64("i"), F.lit(parts)) == part).select("i", "m.t", "m.l").orderBy("i").collect()
-        tokens = [(r["i"], (r["l"] or "").lower() == "zh", plain(r["t"])) for r in rows]
-        by_words = [(i, words(t)) for i, zh, t in tokens if not zh]
-        by_chars = [(i, characters(t)) for i, zh, t in tokens if zh]
-        indexes = [Index(x, c) for x, c in (([x for x in by_words if len(x[1]) >= LEAST], False), ([x for x in by_chars if len(x[1]) >= LEAST], True)) if x]
+    for begin in range(0, parts, TOGETHER):
+        rows = keyed.where(F.col("part").between(begin, begin + TOGETHER - 1)).orderBy("i").collect()
+        indexes: list[Index | Phrases] = []
+        for part in range(begin, min(begin + TOGETHER, parts)):
+            mine = [(r["i"], (r["l"] or "").lower() == "zh", plain(r["t"])) for r in rows if r["part"] == part]
+            for by_character, cut in ((False, words), (True, characters)):
+                tokens = [(i, cut(t)) for i, zh, t in mine if zh == by_character]
+                if long := [x for x in tokens if len(x[1]) >= LEAST]:
+                    indexes.append(Index(long, by_character))
+                if short := [x for x in tokens if 0 < len(x[1]) < LEAST]:
+                    indexes.append(Phrases(short, by_character))
         known = spark.sparkContext.broadcast(indexes)
 
         def search(batches: Iterator[pd.DataFrame], known=known) -> Iterator[pd.DataFrame]:
             for pdf in batches:
                 texts = [plain(t) if t else "" for t in pdf[text]]
                 ids = pdf[id_col].tolist()
-                found: dict[tuple, tuple[float, int]] = {}
+                found: dict[tuple, tuple] = {}
                 for index in known.value:
                     some = [j for j, t in enumerate(texts) if not index.by_character or _HAN.search(t)]
                     for at in range(0, len(some), 500):
                         mine = some[at : at + 500]
                         streams = [characters(texts[j]) if index.by_character else words(texts[j]) for j in mine]
+                        if isinstance(index, Phrases):
+                            found.update({(ids[j], index.ids[i]): (1.0, len(index.tokens[i]), 1.0, 1.0) for j, s in zip(mine, streams) for i in index.candidates(s)})
+                            continue
                         asked = [trigrams(s) if index.by_character else pairs(s) for s in streams]
                         for s, i, begin in index.candidates(asked):
                             item = index.tokens[i]
@@ -258,10 +328,12 @@ def find_leaks(documents: DataFrame, items: DataFrame, id_col: str = "doc_id", t
                                 continue
                             hit = align(item, streams[s], begin - len(item) // 2, begin + 2 * index.half + len(item) // 2 + 3)
                             if leaked(item, hit):
-                                found[key] = ((hit[2] - hit[1]) / len(item), hit[0])
-                yield pd.DataFrame([(*k, round(v[0], 6), v[1]) for k, v in found.items()], columns=[id_col, item_id, "proporcion", "coinciden"])
+                                n, (matched, a, b, *_) = len(item), hit
+                                found[key] = ((b - a) / n, matched, covered(a, b, 0, n / 2), covered(a, b, n / 2, n))
+                out = pd.DataFrame([(*k, *v) for k, v in found.items()], columns=[id_col, item_id, "proporcion", "coinciden", "inicio", "final"])
+                yield out.round({"proporcion": 6, "inicio": 6, "final": 6})
 
         got = documents.select(id_col, text).where(F.col(id_col).isNotNull() & F.col(text).isNotNull()).mapInPandas(search, schema)
         out = got if out is None else out.unionByName(got)
     # A doc_id that recurs gives one row per item.
-    return out.groupBy(id_col, item_id).agg(F.max("proporcion").alias("proporcion"), F.max("coinciden").alias("coinciden"))
+    return out.groupBy(id_col, item_id).agg(*[F.max(c).alias(c) for c in ("proporcion", "coinciden", "inicio", "final")])

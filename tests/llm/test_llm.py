@@ -342,6 +342,44 @@ def test_leaks_planted(spark):
     assert leakage.find_leaks(d.limit(0), spark.createDataFrame(items, "item_id int, text string, lang string")).count() == 0
 
 
+def test_short_items_are_found_as_phrases(spark):
+    items = spark.createDataFrame([(1, "Old red gene.", "en"), (2, "宇宙洪", "zh"), (3, "a b c d e", None)], "item_id int, text string, lang string")
+    docs = spark.createDataFrame([(1, "The OLD <b>red</b> gene, it rose."), (2, "The red old gene."), (3, "天地宇宙 洪荒"), (4, "x a b c d e y"), (5, "a b c d")], "doc_id int, text string")
+    assert {(r.doc_id, r.item_id) for r in leakage.find_leaks(docs, items).collect()} == {(1, 1), (3, 2), (4, 3)}
+
+
+def test_wand_gives_what_scoring_every_item_gives():
+    rnd = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(40)]
+    items = [(i, [rnd.choice(vocabulary) for _ in range(rnd.randrange(6, 40))]) for i in range(90)]
+    index = leakage.Index(items, False)
+    tokens = [rnd.choice(vocabulary) for _ in range(300)] + [x for t in rnd.sample(items, 8) for x in (*t[1][: len(t[1]) * 3 // 4], rnd.choice(vocabulary))]
+    stream = leakage.pairs(tokens)
+    got = {(i, at) for _, i, at in index.candidates([stream])}
+    want = set()
+    for at in range(0, len(stream), index.half):
+        terms = {index.vocabulary[x] for x in stream[at : at + 2 * index.half] if x in index.vocabulary}
+        want |= {(i, at) for i in range(len(items)) if sum(s for k, s in index.impacts[i].items() if k in terms) >= index.threshold[i] - 1e-9}
+    assert got == want and want
+
+
+def test_recall_of_the_index_against_aligning_everything(spark, sf):
+    """Every document against every item without the index; at least 0.9 must be found, as it stands all are."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").where("text is not null and length(text) < 3000").orderBy("doc_id")
+    items = spark.read.parquet(f"{sf}/items_evaluacion.parquet")
+    known = [(r.item_id, leakage.words(leakage.plain(r.text))) for r in items.where("lang <> 'zh'").collect()]
+    want = set()
+    for r in docs.collect():
+        stream = leakage.words(leakage.plain(r.text))
+        there = set(stream)
+        for i, t in known:
+            # Fewer of its words than a leak has anywhere in the text: no alignment can do.
+            if sum(x in there for x in t) >= leakage.DENSE * (leakage.HALF * len(t) - 1) and leakage.leaked(t, leakage.align(t, stream, 0, len(stream))):
+                want.add((r.doc_id, i))
+    got = {(r.doc_id, r.item_id) for r in leakage.find_leaks(docs, items.where("lang <> 'zh'")).collect()}
+    assert want and len(got & want) >= 0.9 * len(want)
+
+
 # 9: quality
 
 PROSE = "The gene of the old strain was found in the cell, and it rose by a third after the shift to the new medium. "
