@@ -3,13 +3,13 @@
 The items are the index, every passage of every document is a query. Terms are pairs of adjacent words (for items in Chinese,
 trigrams of characters) with case, marks, markup and character forms looked aside. An item's threshold is a
 fixed share of the least BM25 score of any stretch of half its words: what is left of it after more than one
-word in ten is gone. Terms whose scores together cannot reach the threshold are not essential.
+word in ten is gone.
 
-A passage is answered by block-max WAND over blocks of BLOCK items: its essential terms' lists stand at their next block, in
-order; the first place at which their greatest scores together reach the least any block asks for is the pivot;
-blocks before it are skipped, the pivot is dropped if the maxima of its own block fall short, and only otherwise
-are its items scored in full. Passages that have no pivot at all are told apart beforehand, many at a time. Every item
-that reaches its threshold is verified by the best local alignment in order, over all matching words.
+A passage is answered by block-max WAND over blocks of BLOCK items. A block is a pivot if the maxima of the passage's terms
+in it together reach the least that any item of it asks for; passages whose terms cannot reach any block's need are
+dropped first. Both are tested for many passages at a time. The terms' lists then skip from pivot to pivot, over all
+blocks between, and the items there are scored in full. Every item that reaches its threshold is verified by the best
+local alignment in order, over all matching words.
 
 Passages overlap by half and are as long as twice the longest stretch asked for, so every such stretch lies whole in
 one. Documents are handled whole, without a shuffle. An index holds about ITEMS items at most, and one pass over the documents
@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HALF, LOST, K1, B, BLOCK, ITEMS, TOGETHER, LEAST = 0.5, 0.12, 1.2, 0.75, 16, 4000, 16, 6
+HALF, LOST, K1, B, BLOCK, ITEMS, TOGETHER, LEAST = 0.5, 0.12, 1.2, 0.75, 4, 4000, 16, 6
 #: Share of the score of half an item that a leak keeps at least: a word lost costs two pairs, a character three trigrams.
 KEPT = 0.42
 #: Alignment: price of an unmatched step; share of the stretch that must match, on the item's and on the document's side.
@@ -92,8 +92,7 @@ class Index:
         mean = sum(map(len, terms)) / max(1, n)
         self.vocabulary: dict[str, int] = {}
         cells: dict[int, list[tuple[int, float]]] = {}
-        self.threshold, self.rest = np.zeros(n), np.zeros(n)
-        essential: set[tuple[int, int]] = set()
+        self.threshold = np.zeros(n)
         for i, t in enumerate(terms):
             tf: dict[str, int] = {}
             for x in t:
@@ -104,42 +103,31 @@ class Index:
             for a in range(max(1, len(t) - span + 1)):
                 least = min(least, sum(impact[x] for x in set(t[a : a + span])))
             self.threshold[i] = KEPT * least
-            total = 0.0
-            for x, s in sorted(impact.items(), key=lambda p: (p[1], p[0])):
+            for x, s in sorted(impact.items()):
                 k = self.vocabulary.setdefault(x, len(self.vocabulary))
                 cells.setdefault(k, []).append((i, s))
-                total += s
-                if total < self.threshold[i]:
-                    self.rest[i] = total
-                else:
-                    essential.add((k, i))
         m = len(self.vocabulary)
         self.blocks = ceil(n / BLOCK)
         full = [(k, i, s) for k in range(m) for i, s in cells[k]]
-        top: dict[tuple[int, int], float] = {}
-        for k, i, s in full:
-            if (k, i) in essential:
-                top[k, i // BLOCK] = max(top.get((k, i // BLOCK), 0.0), s)
-        self.essential = np.zeros(m, dtype=bool)
-        self.essential[[k for k, _ in top]] = True
-        self.most = np.zeros(m)
-        for (k, _), s in top.items():
-            self.most[k] = max(self.most[k], s)
-        # By essential term: its blocks, their maxima, and in each the items it is essential for.
+        # By term: its blocks, their maxima, and the items with their scores in each.
         inner: dict[int, dict[int, list[tuple[int, float]]]] = {}
         for k, i, s in full:
-            if (k, i) in essential:
-                inner.setdefault(k, {}).setdefault(i // BLOCK, []).append((i, s))
+            inner.setdefault(k, {}).setdefault(i // BLOCK, []).append((i, s))
         self.lists = {k: (list(b), [max(s for _, s in x) for x in b.values()], list(b.values())) for k, b in inner.items()}
-        need = self.threshold - self.rest
-        # What essential terms must bring for a block to hold a result; a little less, as sums are rounded.
-        self.block_need = [float(need[b * BLOCK : (b + 1) * BLOCK].min()) - 1e-9 for b in range(self.blocks)]
+        self.most = np.array([max(self.lists[k][1]) for k in range(m)])
+        # The same lists end to end, for many passages at a time.
+        self.list_begin, self.list_end = np.zeros(m, dtype=np.int64), np.zeros(m, dtype=np.int64)
+        blocks_of, most_of, n_rows = [], [], 0
+        for k, (where, maxima, _) in self.lists.items():
+            self.list_begin[k], n_rows = n_rows, n_rows + len(where)
+            self.list_end[k] = n_rows
+            blocks_of += where
+            most_of += maxima
+        self.list_block, self.list_most = np.array(blocks_of, dtype=np.int64), np.array(most_of)
+        # What a block asks for at least; a little less, as sums are rounded.
+        self.threshold = (self.threshold - 1e-9).tolist()
+        self.block_need = [min(self.threshold[b * BLOCK : (b + 1) * BLOCK]) for b in range(self.blocks)]
         self.need = min(self.block_need, default=0.0)
-        self.impacts: list[dict[int, float]] = [{} for _ in range(n)]
-        for k, i, s in full:
-            self.impacts[i][k] = s
-        self.terms = [frozenset(x) for x in self.impacts]
-        self.threshold, self.rest = self.threshold.tolist(), self.rest.tolist()
         longest = max((len(t) for t in terms), default=2)
         self.half = ceil(longest * HALF * (1 + LOST)) + 2
 
@@ -157,65 +145,45 @@ class Index:
         most = int(lengths.max()) // self.half + 2
         home = stream * most + position // self.half
         first = flat >= 0
-        first[first] = self.essential[flat[first]]
         passage, term = self._passages(flat[first], home[first], position[first])
-        # Passages whose essential terms cannot reach any block's need together have no pivot.
+        # Passages whose terms cannot reach any block's need together have no pivot.
         seen, dense = np.unique(passage, return_inverse=True)
         hopeful = np.bincount(dense, weights=self.most[term], minlength=len(seen)) >= self.need
-        mine = hopeful[dense]
+        # The pivots: blocks whose maxima reach their need.
+        sure = hopeful[dense]
+        passage, term = passage[sure], term[sure]
+        count = self.list_end[term] - self.list_begin[term]
+        owner = np.repeat(np.arange(len(term)), count)
+        row = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count) + self.list_begin[term][owner]
+        cell, place = np.unique(passage[owner] * self.blocks + self.list_block[row], return_inverse=True)
+        reach = np.bincount(place, weights=self.list_most[row], minlength=len(cell))
+        held = cell[reach >= np.array(self.block_need)[cell % self.blocks]]
+        pivots: dict[int, list[int]] = {}
+        for q, b in zip((held // self.blocks).tolist(), (held % self.blocks).tolist()):
+            pivots.setdefault(q, []).append(b)
         asked: dict[int, list[int]] = {}
+        mine = np.isin(passage, held // self.blocks)
         for q, k in zip(passage[mine].tolist(), term[mine].tolist()):
             asked.setdefault(q, []).append(k)
-        if not asked:
-            return []
-        known = (flat >= 0) & (np.isin(home, seen[hopeful]) | np.isin(home - 1, seen[hopeful]))
-        passage, term = self._passages(flat[known], home[known], position[known])
-        full: dict[int, set[int]] = {}
-        for q, k in zip(passage.tolist(), term.tolist()):
-            if q in asked:
-                full.setdefault(q, set()).add(k)
-        return [(q // most, i, q % most * self.half) for q, terms in asked.items() for i in self.wand(terms, full[q])]
-
-    def wand(self, terms: list[int], all_terms: set[int]) -> list[int]:
-        """Items whose score in a passage with these essential and these terms altogether reaches their threshold."""
-        # [block it stands at, its place in the list, greatest score, blocks, maxima by block, items by block]
-        heads = [[self.lists[k][0][0], 0, float(self.most[k]), *self.lists[k]] for k in terms]
+        return [(q // most, i, q % most * self.half) for q, blocks in pivots.items() for i in self.wand(asked[q], blocks)]
+
+    def wand(self, terms: list[int], pivots: list[int]) -> list[int]:
+        """Items of the pivots whose score in a passage with these terms reaches their threshold; the lists skip from pivot to pivot."""
+        heads = [(0, *self.lists[k]) for k in terms]
         out: list[int] = []
-        while heads:
-            heads.sort(key=lambda h: h[0])
-            bound, pivot = 0.0, None
-            for h in heads:
-                bound += h[2]
-                if bound >= self.need:
-                    pivot = h[0]
-                    break
-            if pivot is None:
-                break
-            if heads[0][0] < pivot:
-                # Blocks before the pivot cannot hold a result.
-                upto = pivot
-            else:
-                here = [h for h in heads if h[0] == pivot]
-                if sum(h[4][h[1]] for h in here) >= self.block_need[pivot]:
-                    sums: dict[int, float] = {}
-                    for h in here:
-                        for i, s in h[5][h[1]]:
-                            sums[i] = sums.get(i, 0.0) + s
-                    for i, got in sums.items():
-                        if got < self.threshold[i] - self.rest[i] - 1e-9:
-                            continue
-                        if sum(map(self.impacts[i].__getitem__, self.terms[i] & all_terms)) >= self.threshold[i] - 1e-9:
-                            out.append(i)
-                upto = pivot + 1
+        for pivot in pivots:
+            sums: dict[int, float] = {}
             left = []
-            for h in heads:
-                if h[0] < upto:
-                    at = bisect_left(h[3], upto, h[1])
-                    if at == len(h[3]):
-                        continue
-                    h[0], h[1] = h[3][at], at
-                left.append(h)
+            for at, blocks, maxima, inner in heads:
+                at = bisect_left(blocks, pivot, at)
+                if at == len(blocks):
+                    continue
+                left.append((at, blocks, maxima, inner))
+                if blocks[at] == pivot:
+                    for i, s in inner[at]:
+                        sums[i] = sums.get(i, 0.0) + s
             heads = left
+            out += [i for i, got in sums.items() if got >= self.threshold[i]]
         return out
 
     def _passages(self, term: np.ndarray, home: np.ndarray, position: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -238,17 +206,22 @@ def align(item: list[str], stream: list[str], begin: int, end: int) -> tuple[int
             at.setdefault(x, []).append(p)
     if sum(x in at for x in item) < DENSE * (HALF * len(item) - 1):
         return None
-    ks = np.array([k for k, x in enumerate(item) for _ in at.get(x, ())])
-    ps = np.array([p for x in item for p in at.get(x, ())])
-    n = len(ks)
-    score, back = np.ones(n), np.full(n, -1)
-    for j in range(1, n):
-        # Sorted by k, then p: a chain comes from matches before, of a smaller k and p; beyond the score at hand none pays.
-        dk, dp = ks[j] - ks[:j], ps[j] - ps[:j]
-        gain = np.where((dk > 0) & (dp > 0), score[:j] - STEP * (np.maximum(dk, dp) - 1), 0.0)
-        m = int(gain.argmax())
-        if gain[m] > 0:
-            score[j], back[j] = 1.0 + gain[m], m
+    rows = [(k, at[x]) for k, x in enumerate(item) if x in at]
+    ks = np.repeat([k for k, _ in rows], [len(p) for _, p in rows])
+    ps = np.concatenate([p for _, p in rows])
+    score, back = np.ones(len(ks)), np.full(len(ks), -1)
+    end = 0
+    for k, here in rows:
+        # All matches of one word of the item at once; a chain comes from matches of a smaller k and p.
+        begin, end = end, end + len(here)
+        if begin:
+            dp = ps[begin:end, None] - ps[None, :begin]
+            gain = score[:begin] - STEP * (np.maximum(k - ks[:begin], dp) - 1)
+            gain[dp <= 0] = 0.0
+            m = gain.argmax(axis=1)
+            most = gain[np.arange(end - begin), m]
+            score[begin:end] += np.maximum(most, 0.0)
+            back[begin:end] = np.where(most > 0, m, -1)
     j = int(score.argmax())
     k1, p1, matched = int(ks[j]) + 1, int(ps[j]) + 1, 1
     while back[j] >= 0:
