@@ -5,11 +5,11 @@ trigrams of characters) with case, marks, markup and character forms looked asid
 fixed share of the least BM25 score of any stretch of half its words: what is left of it after more than one
 word in ten is gone.
 
-A passage is answered by block-max WAND over blocks of BLOCK items. A block is a pivot if the maxima of the passage's terms
-in it together reach the least that any item of it asks for; passages whose terms cannot reach any block's need are
-dropped first. Both are tested for many passages at a time. The terms' lists then skip from pivot to pivot, over all
-blocks between, and the items there are scored in full. Every item that reaches its threshold is verified by the best
-local alignment in order, over all matching words.
+A passage is answered by block-max WAND over blocks of BLOCK items, many passages at a time. Passages whose terms cannot
+reach any block's need with their greatest scores are dropped first. A block is a pivot if the maxima of the passage's
+terms in it together reach the least that any item of it asks for; the terms' lists are read at the pivots alone, and what they
+hold between is skipped. Every item that reaches its threshold is verified by the best local alignment in order, over
+all matching words.
 
 Passages overlap by half and are as long as twice the longest stretch asked for, so every such stretch lies whole in
 one. Documents are handled whole, without a shuffle. An index holds about ITEMS items at most, and one pass over the documents
@@ -27,7 +27,6 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from bisect import bisect_left
 from collections.abc import Iterator
 from math import ceil
 
@@ -109,25 +108,20 @@ class Index:
         m = len(self.vocabulary)
         self.blocks = ceil(n / BLOCK)
         full = [(k, i, s) for k in range(m) for i, s in cells[k]]
-        # By term: its blocks, their maxima, and the items with their scores in each.
-        inner: dict[int, dict[int, list[tuple[int, float]]]] = {}
-        for k, i, s in full:
-            inner.setdefault(k, {}).setdefault(i // BLOCK, []).append((i, s))
-        self.lists = {k: (list(b), [max(s for _, s in x) for x in b.values()], list(b.values())) for k, b in inner.items()}
-        self.most = np.array([max(self.lists[k][1]) for k in range(m)])
-        # The same lists end to end, for many passages at a time.
-        self.list_begin, self.list_end = np.zeros(m, dtype=np.int64), np.zeros(m, dtype=np.int64)
-        blocks_of, most_of, n_rows = [], [], 0
-        for k, (where, maxima, _) in self.lists.items():
-            self.list_begin[k], n_rows = n_rows, n_rows + len(where)
-            self.list_end[k] = n_rows
-            blocks_of += where
-            most_of += maxima
-        self.list_block, self.list_most = np.array(blocks_of, dtype=np.int64), np.array(most_of)
+        # By term: its items and scores, and its blocks with their maxima; all lists end to end.
+        key, self.post_item, self.post_score = np.array([k for k, _, _ in full], dtype=np.int64), np.array([i for _, i, _ in full], dtype=np.int64), np.array([s for *_, s in full])
+        self.post_begin, self.post_end = np.searchsorted(key, np.arange(m)), np.searchsorted(key, np.arange(m), side="right")
+        cell, place = np.unique(key * self.blocks + self.post_item // BLOCK, return_inverse=True)
+        self.list_most = np.zeros(len(cell))
+        np.maximum.at(self.list_most, place, self.post_score)
+        self.list_block = cell % self.blocks
+        self.list_begin, self.list_end = np.searchsorted(cell // self.blocks, np.arange(m)), np.searchsorted(cell // self.blocks, np.arange(m), side="right")
+        self.most = np.zeros(m)
+        np.maximum.at(self.most, key, self.post_score)
         # What a block asks for at least; a little less, as sums are rounded.
-        self.threshold = (self.threshold - 1e-9).tolist()
-        self.block_need = [min(self.threshold[b * BLOCK : (b + 1) * BLOCK]) for b in range(self.blocks)]
-        self.need = min(self.block_need, default=0.0)
+        self.threshold -= 1e-9
+        self.block_need = np.array([self.threshold[b * BLOCK : (b + 1) * BLOCK].min() for b in range(self.blocks)])
+        self.need = self.block_need.min() if self.blocks else 0.0
         longest = max((len(t) for t in terms), default=2)
         self.half = ceil(longest * HALF * (1 + LOST)) + 2
 
@@ -152,39 +146,31 @@ class Index:
         # The pivots: blocks whose maxima reach their need.
         sure = hopeful[dense]
         passage, term = passage[sure], term[sure]
-        count = self.list_end[term] - self.list_begin[term]
-        owner = np.repeat(np.arange(len(term)), count)
-        row = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count) + self.list_begin[term][owner]
+        row, owner = self._spread(self.list_begin, self.list_end, term)
         cell, place = np.unique(passage[owner] * self.blocks + self.list_block[row], return_inverse=True)
         reach = np.bincount(place, weights=self.list_most[row], minlength=len(cell))
-        held = cell[reach >= np.array(self.block_need)[cell % self.blocks]]
-        pivots: dict[int, list[int]] = {}
-        for q, b in zip((held // self.blocks).tolist(), (held % self.blocks).tolist()):
-            pivots.setdefault(q, []).append(b)
-        asked: dict[int, list[int]] = {}
+        held = cell[reach >= self.block_need[cell % self.blocks]]
+        if not len(held):
+            return []
+        # The lists of those passages, read at their pivots alone; what a list holds between pivots is skipped.
         mine = np.isin(passage, held // self.blocks)
-        for q, k in zip(passage[mine].tolist(), term[mine].tolist()):
-            asked.setdefault(q, []).append(k)
-        return [(q // most, i, q % most * self.half) for q, blocks in pivots.items() for i in self.wand(asked[q], blocks)]
-
-    def wand(self, terms: list[int], pivots: list[int]) -> list[int]:
-        """Items of the pivots whose score in a passage with these terms reaches their threshold; the lists skip from pivot to pivot."""
-        heads = [(0, *self.lists[k]) for k in terms]
-        out: list[int] = []
-        for pivot in pivots:
-            sums: dict[int, float] = {}
-            left = []
-            for at, blocks, maxima, inner in heads:
-                at = bisect_left(blocks, pivot, at)
-                if at == len(blocks):
-                    continue
-                left.append((at, blocks, maxima, inner))
-                if blocks[at] == pivot:
-                    for i, s in inner[at]:
-                        sums[i] = sums.get(i, 0.0) + s
-            heads = left
-            out += [i for i, got in sums.items() if got >= self.threshold[i]]
-        return out
+        row, owner = self._spread(self.post_begin, self.post_end, term[mine])
+        passage = passage[mine][owner]
+        where = passage * self.blocks + self.post_item[row] // BLOCK
+        at = np.minimum(np.searchsorted(held, where), len(held) - 1)
+        right = held[at] == where
+        n = len(self.ids)
+        pair, place = np.unique(passage[right] * n + self.post_item[row[right]], return_inverse=True)
+        score = np.bincount(place, weights=self.post_score[row[right]], minlength=len(pair))
+        won = pair[score >= self.threshold[pair % n]].tolist()
+        return [(w // n // most, w % n, w // n % most * self.half) for w in won]
+
+    @staticmethod
+    def _spread(begin: np.ndarray, end: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of the lists of each term, and which term each row is for."""
+        count = end[term] - begin[term]
+        owner = np.repeat(np.arange(len(term)), count)
+        return np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count) + begin[term][owner], owner
 
     def _passages(self, term: np.ndarray, home: np.ndarray, position: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distinct (passage, term): every word counts in the passage it opens and in the one before."""

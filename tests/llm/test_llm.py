@@ -359,7 +359,7 @@ def test_wand_gives_what_scoring_every_item_gives():
     want = set()
     for at in range(0, len(stream), index.half):
         terms = {index.vocabulary[x] for x in stream[at : at + 2 * index.half] if x in index.vocabulary}
-        want |= {(i, at) for i in range(len(items)) if sum(s for k in terms for where in index.lists[k][2] for j, s in where if j == i) >= index.threshold[i]}
+        want |= {(i, at) for i in range(len(items)) if sum(index.post_score[x] for k in terms for x in range(index.post_begin[k], index.post_end[k]) if index.post_item[x] == i) >= index.threshold[i]}
     assert got == want and want
 
 
