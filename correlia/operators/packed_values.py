@@ -39,6 +39,8 @@ SHARE, ROUNDS, MERGE, WINDOW, FLUSH = 1e-5, 3, 9, 400, 200_000
 OWN, NEW_SHAPE = 1.0, 0.3
 #: Log-probability of a kind's cutting below which it is passed over, and of a value's inner marks below which it is given up.
 IDLE, HOPELESS = -8.0, -16.0
+#: Log-probability of a value's inner marks above which it may grow beyond MERGE pieces though none like it was seen.
+LIKELY = -3.0
 #: Places that the first guess for hard marks weighs as.
 FIRM = 200.0
 #: Cells that hold nothing, quotes, marks that nearly always cut, and the first guess of each kind's rate.
@@ -89,6 +91,8 @@ def lattice(cell: str) -> tuple[list[tuple[str, bool]], list[tuple[str, str]]]:
     pieces: list[tuple[str, bool]] = []
     places: list[tuple[str, str]] = []
     i, start, n = 0, 0, len(cell)
+    # Quotes and brackets of which it is known that nothing closes them further on.
+    open_ended: set[str] = set()
 
     def close(upto: int, mark: str, kind: str, atomic: bool = False) -> None:
         text = cell[start:upto]
@@ -102,16 +106,20 @@ def lattice(cell: str) -> tuple[list[tuple[str, bool]], list[tuple[str, str]]]:
         i = m.start()
         c = cell[i]
         if c in QUOTES:
-            if not cell[start:i].strip():
+            if c not in open_ended and (start == i or not cell[start:i].strip()):
                 j, q = i + 1, QUOTES[c]
                 while (j := cell.find(q, j)) >= 0:
                     if q == c and cell[j + 1 : j + 2] == q:
                         j += 2
                         continue
-                    after = cell[j + 1 :].lstrip(" \xa0") if len(cell) < 4000 else cell[j + 1 : j + 4000].lstrip(" \xa0")
-                    if not after or (m := _PLACE.match(after)) and m.end() and not m[0].isspace() or cell[j + 1 : j + 2] in "\t\n":
+                    k = j + 1
+                    while k < n and cell[k] in " \xa0":
+                        k += 1
+                    if k == n or (m := _PLACE.match(cell, k)) and not m[0].isspace() or cell[j + 1 : j + 2] in "\t\n":
                         break
                     j += 1
+                if j < 0:
+                    open_ended.add(c)
                 if j > 0:
                     m = _PLACE.match(cell, j + 1)
                     end = m.end() if m else j + 1
@@ -124,7 +132,9 @@ def lattice(cell: str) -> tuple[list[tuple[str, bool]], list[tuple[str, str]]]:
             i += 1
             continue
         if c == "(":
-            j = cell.find(")", i)
+            j = -1 if c in open_ended else cell.find(")", i)
+            if j < 0:
+                open_ended.add(c)
             i = j + 1 if j > 0 else i + 1
             continue
         m = _PLACE.match(cell, i)
@@ -161,6 +171,8 @@ class Model:
         #: Hard marks cut so surely here that cells with no other places have no choice.
         self.firm = self.cut("hard")[0] > math.log(0.98)
         self.memo: dict[str, float] = {}
+        #: How the values that have more than MERGE pieces begin, from the first MERGE pieces on.
+        self.begun = {v[: m.start()] for v in values for k, m in enumerate(_PLACE.finditer(v), 1) if k >= MERGE}
 
     def value(self, text: str) -> float:
         got = self.memo.get(text)
@@ -228,7 +240,10 @@ def _edges(pieces: list, places: list, model: Model) -> list[list[tuple[int, str
     out: list[list[tuple[int, str, float]]] = [[] for _ in range(len(pieces) + 1)]
     for a in range(len(pieces)):
         text, inner = "", 0.0
-        for b in range(a, min(len(pieces), a + MERGE)):
+        for b in range(a, len(pieces)):
+            # Long values: as far as one that was seen begins like this, or as the marks within hardly ever cut.
+            if b - a >= MERGE and inner < LIKELY and text not in model.begun:
+                break
             if b > a:
                 if pieces[b][1] or pieces[a][1]:
                     break
@@ -255,8 +270,6 @@ def best_values(cell: str | None, model: Model) -> list[str]:
         return got
     out: list[str] = []
     pieces, places = lattice(bare)
-    if model.firm and _sure(pieces, places):
-        return [x for x in (_plain(p) for p, _ in pieces) if x]
     pieces, places, _ = _contract(pieces, places, model)
     for pieces, places in _windows(pieces, places):
         edges = _edges(pieces, places, model)

@@ -1,6 +1,8 @@
+import time
+
 import pytest
 
-from correlia.operators.packed_values import Model, best_values, lattice, split_values
+from correlia.operators.packed_values import Model, best_values, lattice, shape, split_values
 
 PLAIN = Model({}, {}, {}, {})
 ROWS = [
@@ -53,3 +55,16 @@ def test_long_cell_is_cut_whole():
 def test_odd_cells_do_not_fail(cell):
     lattice(cell)
     assert all(best_values(cell, PLAIN))
+
+
+def test_long_values_that_were_seen_stay_whole():
+    long = "Study of the very old red gene in the new blue strain"
+    model = Model({long: 50.0, "Red gene": 5.0}, {shape(long): 50.0, shape("Red gene"): 5.0}, {w: 50.0 for w in long.split()}, {",": (60.0, 0.1), " *": (3.0, 400.0), " ": (1.0, 1.0)})
+    assert best_values(f"Red gene, {long}, Red gene", model) == ["Red gene", long, "Red gene"]
+
+
+@pytest.mark.parametrize("cell", ['a, "b ' * 30_000, "a, (b " * 30_000, "“" * 100_000, "`a `b" * 20_000])
+def test_unclosed_quotes_and_brackets_take_linear_time(cell):
+    began = time.perf_counter()
+    pieces, _ = lattice(cell)
+    assert pieces and time.perf_counter() - began < 20
