@@ -55,6 +55,17 @@ def without_loss_prefix(c: str | Column) -> Column:
     return F.regexp_replace(c, "^(?:[Dd]elta-?|Δ)", "")
 
 
+def word_groups(words: Column, n: int) -> Column:
+    """Hashes of all runs of n words of an array, in order; an array of fewer is one run.
+
+    The words are read once per place of a run, not once per run: a higher-order function would evaluate them again for each.
+    """
+    shifted = [words, *[F.slice(words, k + 1, F.size(words)) for k in range(1, n)]]
+    zipped = F.arrays_zip(*shifted).cast("array<struct<" + ",".join(f"w{k}:string" for k in range(n)) + ">>")
+    runs = F.transform(F.filter(zipped, lambda z: z[f"w{n - 1}"].isNotNull()), lambda z: F.xxhash64(F.concat_ws(" ", *[z[f"w{k}"] for k in range(n)])))
+    return F.when(F.size(words) < n, F.array(F.xxhash64(F.array_join(words, " ")))).otherwise(runs)
+
+
 def canonical(c: str | Column) -> Column:
     """Text without entity marks, punctuation and case: the key for equal sentences."""
     bare = F.regexp_replace(c, r"(?i)[<\[]\s*/?\s*e[12]\s*[>\]]", " ")
@@ -71,10 +82,18 @@ def locus_range(c: str | Column) -> Column:
 
 
 def article_ids(c: str | Column) -> Column:
-    """Article numbers of 7 to 9 digits in a cell, DOIs taken out first, leading zeros dropped, in order, each once."""
+    """Article numbers of 7 or 8 digits in a cell, DOIs taken out first, leading zeros dropped, in order, each once.
+
+    A number in scientific notation (`1.2345678E7`) is read as a whole, before runs of digits are.
+    """
     bare = F.regexp_replace(c, r"10\.\d{4,}/\S+", " ")
-    found = F.transform(F.regexp_extract_all(bare, F.lit(r"(\d+)"), 1), lambda x: F.regexp_replace(x, "^0+", ""))
-    return F.array_distinct(F.filter(found, lambda x: F.length(x).between(7, 9)))
+
+    def number(x: Column) -> Column:
+        whole = F.when(x.rlike("[eE]"), x.try_cast("double").try_cast("decimal(38,0)").cast("string")).otherwise(x)
+        return F.regexp_replace(whole, "^0+", "")
+
+    found = F.transform(F.regexp_extract_all(bare, F.lit(r"(\d+(?:\.\d+)?[eE]\+?\d{1,2}(?![\w.])|\d+)"), 1), number)
+    return F.array_distinct(F.filter(found, lambda x: F.length(x).between(7, 8)))
 
 
 def sign(c: str | Column) -> Column:
@@ -89,15 +108,18 @@ def doi(c: str | Column) -> Column:
     return F.when(bare.rlike(r"^10\.\d{4,}/"), bare)
 
 
+#: Words of lost and of raised expression, of a stated sign, and of what only looks like activation.
+LOSS = r"(?i)(\b(mutant|mutants|mutation|mutations|knockout|knock-out|deletion|deleted|disrupt|disruption|inactivat|loss of|lacking|null|insertional|defective)|[Dd]elta\s*|Δ|∆)"
+RAISED = r"(?i)\b(overexpress|over-express|overproduc|elevated|increased|upregulat|up-regulat|hyperexpress|derepress|de-repress|enhanced expression|higher levels?)"
+DIRECT = r"(?i)\b(repress|repressor|negative regulator|negatively regulat|downregulat|down-regulat|silenc|activat|positive regulator|positively regulat|induc|promotes expression|transcriptional regulator|regulon|regulates|regulated by|controls expression|under the control)"
+CONTRARY = r"(?i)\b(activat|positive regulator|positively regulat|induc|upregulates|promotes expression)"
+
+
 def wording(c: str | Column) -> Column:
-    """Kind of evidence a sentence words, the first that fits: contrary, mutant, direct, other."""
-    low = F.lower(c)
-    return (
-        F.when(low.rlike(r"\b(?:no|not|fails to|failed to|unchanged)\b"), "contraria")
-        .when(low.rlike(r"(?:mutant|deletion|deleting|loss of|knockout|δ)"), "mutante")
-        .when(low.rlike(r"(?:binds|bound by|footprint|emsa|chip-seq|directly)"), "directa")
-        .otherwise("otra")
-    )
+    """Kind of evidence a sentence words, the first that fits: of a mutant (loss and rise), direct, contrary-looking, other."""
+    c = F.col(c) if isinstance(c, str) else c
+    mutant = c.rlike(LOSS) & c.rlike(RAISED)
+    return F.when(mutant, "fenotipo_mutante").when(c.rlike(DIRECT), "directa").when(c.rlike(CONTRARY), "contraria_aparente").otherwise("otra")
 
 
 def xml_safe(c: str | Column) -> Column:

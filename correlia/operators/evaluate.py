@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -83,12 +84,21 @@ def best_threshold(df: DataFrame, positive: Column, score: str) -> DataFrame:
 
 @F.pandas_udf(T.DoubleType())
 def binomial_tail(hits: pd.Series, n: pd.Series, p: pd.Series) -> pd.Series:
-    """P(X >= hits) for X binomial(n, p), exact; null for null input."""
+    """P(X >= hits) for X binomial(n, p), summed in logarithms so that no n is too large; null for null input."""
 
     def tail(k: float, m: float, q: float) -> float | None:
         if pd.isna(k) or pd.isna(m) or pd.isna(q):
             return None
-        return min(1.0, math.fsum(math.comb(int(m), i) * q**i * (1 - q) ** (int(m) - i) for i in range(int(k), int(m) + 1)))
+        k, m = max(0, int(k)), int(m)
+        if k == 0 or q >= 1:
+            return 1.0 if k <= m else 0.0
+        if k > m or q <= 0:
+            return 0.0
+        first = math.lgamma(m + 1) - math.lgamma(k + 1) - math.lgamma(m - k + 1) + k * math.log(q) + (m - k) * math.log1p(-q)
+        i = np.arange(k, m)
+        steps = np.concatenate([[0.0], np.cumsum(np.log(m - i) - np.log(i + 1.0) + math.log(q) - math.log1p(-q))])
+        top = float(steps.max())
+        return min(1.0, math.exp(first + top) * float(np.exp(steps - top).sum()))
 
     return pd.Series([tail(*x) for x in zip(hits, n, p)], dtype="float64")
 
@@ -126,6 +136,49 @@ def verdict_rollup(judged: DataFrame, edge: list[str], verdict: str) -> DataFram
     return g.select(*edge, "n", out.alias("veredicto"))
 
 
+def directed_jury(votes: DataFrame, item: str, juror: str, answer: str, direction: str, directions: tuple[str, str], k: int) -> DataFrame:
+    """(item, relacion, direccion) of a jury whose yes votes carry a direction.
+
+    At least k yes votes with a direction: yes, in the direction of most of them; even: `dudoso`, in the direction of the first
+    of them by juror. Else `dudoso` if the doubtful votes with a direction outnumber the noes, in the direction of most of
+    them (even: of the first); else `no`, `ninguna`. Nobody answered: null.
+    """
+    one, two = directions
+    aimed = F.col(direction).isin(one, two)
+    count = lambda c, d: F.count_if(c & (F.col(direction) == d))
+    yes, doubt = (F.col(answer) == "si") & aimed, (F.col(answer) == "dudoso") & aimed
+    first = lambda c: F.min_by(direction, F.when(c, F.col(juror)))
+    g = votes.groupBy(item).agg(
+        count(yes, one).alias("y1"), count(yes, two).alias("y2"), count(doubt, one).alias("d1"), count(doubt, two).alias("d2"), F.count_if(F.col(answer) == "no").alias("no"),
+        F.count(answer).alias("n"), first(yes).alias("fy"), first(doubt).alias("fd"),
+    )
+    most = lambda a, b, tie: F.when(F.col(a) > F.col(b), one).when(F.col(b) > F.col(a), two).otherwise(F.col(tie))
+    carried, doubted = F.col("y1") + F.col("y2") >= k, F.col("d1") + F.col("d2") > F.col("no")
+    relation = F.when(F.col("n") == 0, None).when(carried & (F.col("y1") != F.col("y2")), "si").when(carried | doubted, "dudoso").otherwise("no")
+    way = F.when(F.col("n") == 0, None).when(carried, most("y1", "y2", "fy")).when(doubted, most("d1", "d2", "fd")).otherwise("ninguna")
+    return g.select(item, relation.alias("relacion"), way.alias("direccion"))
+
+
+def edge_verdicts(judged: DataFrame, edge: list[str], juror: str, answer: str, direction: str, stated: str, directions: tuple[str, str]) -> DataFrame:
+    """(edge, n, jueces, a_favor, veredicto, nivel): verdict of an edge from its judged sentences, and the confidence in it.
+
+    A sentence abstains without an answer, rejects by no, confirms by yes in the edge's stated direction, inverts by yes in
+    the other, and is doubtful otherwise. The edge takes the strongest of confirmed, inverted, doubtful, rejected; without any,
+    `sin_juicio`. Level: inverted `al_reves`, else not confirmed `sin_respaldo`, confirmed by all of two or more jurors `alta`,
+    else `media`; empty without a juror.
+    """
+    verdict = (
+        F.when(F.col(answer).isNull(), "abstiene").when(F.col(answer) == "no", "rechaza")
+        .when((F.col(answer) == "si") & (F.col(direction) == F.col(stated)), "confirma").when((F.col(answer) == "si") & F.col(direction).isin(*directions), "invierte").otherwise("dudosa")
+    )
+    rows = judged.withColumn("__v", verdict)
+    answered = F.when(F.col("__v") != "abstiene", F.col(juror))
+    g = rows.groupBy(*edge).agg(*[F.bool_or(F.col("__v") == v).alias(v) for v in ("confirma", "invierte", "dudosa", "rechaza")], F.count(F.lit(1)).alias("n"), F.count_distinct(answered).alias("jueces"), F.count_distinct(F.when(F.col("__v") == "confirma", F.col(juror))).alias("a_favor"))
+    out = F.when(F.col("confirma"), "confirmada").when(F.col("invierte"), "invertida").when(F.col("dudosa"), "dudosa").when(F.col("rechaza"), "rechazada").otherwise("sin_juicio")
+    level = F.when(F.col("jueces") == 0, "").when(out == "invertida", "al_reves").when(out != "confirmada", "sin_respaldo").when((F.col("jueces") >= 2) & (F.col("a_favor") == F.col("jueces")), "alta").otherwise("media")
+    return g.select(*edge, "n", "jueces", "a_favor", out.alias("veredicto"), level.alias("nivel"))
+
+
 def recall_by(gold: DataFrame, found: DataFrame, keys: list[str], stratum: str) -> DataFrame:
     """Recall per stratum and, as `todas`, over all; the strata overlap in `todas` only."""
     hit = gold.join(found.select(*keys).distinct().withColumn("__hit", F.lit(True)), keys, "left")
@@ -134,10 +187,10 @@ def recall_by(gold: DataFrame, found: DataFrame, keys: list[str], stratum: str)
 
 
 def sign_category(df: DataFrame, key: list[str], sign: str) -> DataFrame:
-    """unico, mixto, contradictorio or solo_duda, by the distinct signs of a key."""
-    g = df.where(F.col(sign).isin("+", "-", "?")).groupBy(*key).agg(F.max(F.col(sign) == "+").alias("p"), F.max(F.col(sign) == "-").alias("m"), F.max(F.col(sign) == "?").alias("q"))
-    kind = F.when(F.col("p") & F.col("m"), "contradictorio").when(~F.col("p") & ~F.col("m"), "solo_duda").when(F.col("q"), "mixto").otherwise("unico")
-    return g.select(*key, kind.alias("categoria"))
+    """Of each key by its distinct signs: contradictorio (both), unico (one), mezcla (one and `?`), solo_interrogacion, sin_disparador (none)."""
+    g = df.groupBy(*key).agg(*[F.coalesce(F.max(F.col(sign) == s), F.lit(False)).alias(n) for n, s in (("p", "+"), ("m", "-"), ("q", "?"))])
+    kind = F.when(F.col("p") & F.col("m"), "contradictorio").when((F.col("p") | F.col("m")) & F.col("q"), "mezcla").when(F.col("p") | F.col("m"), "unico").when(F.col("q"), "solo_interrogacion")
+    return g.select(*key, kind.otherwise("sin_disparador").alias("categoria"))
 
 
 def cluster_bootstrap(df: DataFrame, cluster: str, hit: Column, replicates: int = 200, seed: int = 20261016) -> DataFrame:

@@ -17,6 +17,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from correlia.functions.text import word_groups
+
 MOST_WORDS = 50_000
 
 
@@ -157,6 +159,16 @@ def dependency_paths(df: DataFrame, tree: str, a: str, b: str) -> DataFrame:
     return df.withColumn("sintaxis", run(F.col(tree), F.col(a), F.col(b)))
 
 
+#: Characters by which texts of few words meet.
+CHARACTERS = 8
+
+
+def _containing(pairs: DataFrame, d: DataFrame, r: DataFrame, id_col: str, text: str) -> DataFrame:
+    """(id_col, rid) of those pairs of which one text contains the other."""
+    both = pairs.distinct().join(d, id_col).join(r, "rid")
+    return both.where(F.contains(text, F.col("reservada")) | F.contains("reservada", F.col(text))).select(id_col, "rid")
+
+
 def contained_texts(rows: DataFrame, reserved: DataFrame, id_col: str, text: str, words: int = 5) -> DataFrame:
     """Ids of rows whose text equals, holds, or lies within a reserved text (column `reservada`), without comparing all with all.
 
@@ -168,8 +180,7 @@ def contained_texts(rows: DataFrame, reserved: DataFrame, id_col: str, text: str
         return F.filter(F.split(F.lower(F.col(c)), r"\W+"), lambda x: x != "")
 
     def grams(c: str) -> Column:
-        w = cut(c)
-        return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - (words - 1), F.lit(1))), lambda i: F.xxhash64(F.array_join(F.slice(w, i, words), " "))))
+        return F.array_distinct(word_groups(cut(c), words))
 
     def first(c: str) -> Column:
         # The first and last word of a text may be cut pieces of longer ones, so the group starts at the second.
@@ -179,9 +190,24 @@ def contained_texts(rows: DataFrame, reserved: DataFrame, id_col: str, text: str
     r = reserved.select("reservada").where(F.length("reservada") > 0).distinct().withColumn("rid", F.xxhash64("reservada"))
     d = rows.select(id_col, text).where(F.length(text) > 0)
     long_enough = lambda c: F.size(cut(c)) >= words + 2
-    holds = d.select(id_col, F.explode(grams(text)).alias("g")).join(r.where(long_enough("reservada")).select("rid", first("reservada").alias("g")), "g").select(id_col, "rid")
-    within = d.where(long_enough(text)).select(id_col, first(text).alias("g")).join(r.select("rid", F.explode(grams("reservada")).alias("g")), "g").select(id_col, "rid")
-    pairs = holds.unionByName(within).distinct().join(d, id_col).join(r, "rid").where(F.contains(text, F.col("reservada")) | F.contains("reservada", F.col(text)))
+    holds = d.select(id_col, grams(text).alias("g")).select(id_col, F.explode("g").alias("g")).join(r.where(long_enough("reservada")).select("rid", first("reservada").alias("g")), "g").select(id_col, "rid")
+    within = d.where(long_enough(text)).select(id_col, first(text).alias("g")).join(r.select("rid", grams("reservada").alias("g")).select("rid", F.explode("g").alias("g")), "g").select(id_col, "rid")
+    pairs = _containing(holds.unionByName(within), d, r, id_col, text)
+    # Shorter texts meet by the characters they open with: as many as they have, CHARACTERS at most.
+    sizes = lambda df, c: [x[0] for x in df.where(~long_enough(c)).select(F.least(F.length(c), F.lit(CHARACTERS))).distinct().collect()]
+
+    def cuts(c: str, k: int) -> Column:
+        places = F.sequence(F.lit(1), F.length(c) - (k - 1))
+        return F.when(F.length(c) >= k, F.transform(places, lambda i: F.xxhash64(F.substr(F.col(c), i, F.lit(k))))).otherwise(F.array().cast("array<bigint>"))
+
+    def pieces(df: DataFrame, keep: str, c: str, some: list[int]) -> DataFrame:
+        return df.select(keep, F.explode(F.array_distinct(F.concat(*[cuts(c, k) for k in some]))).alias("g"))
+
+    opening = lambda df, keep, c: df.where(~long_enough(c)).select(keep, F.xxhash64(F.substring(c, 1, CHARACTERS)).alias("g"))
+    if some := sizes(r, "reservada"):
+        pairs = pairs.unionByName(_containing(pieces(d, id_col, text, some).join(opening(r, "rid", "reservada"), "g").select(id_col, "rid"), d, r, id_col, text))
+    if some := sizes(d, text):
+        pairs = pairs.unionByName(_containing(opening(d, id_col, text).join(pieces(r, "rid", "reservada", some), "g").select(id_col, "rid"), d, r, id_col, text))
     equal = d.join(r.select(F.col("reservada").alias(text)), text, "left_semi").select(id_col)
     return pairs.select(id_col).unionByName(equal).distinct()
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from correlia.functions.text import canonical
+from correlia.functions.text import canonical, word_groups
 from correlia.runtime import lookup_join
 
 #: Words of an n-gram and share of the shorter text's n-grams that must be shared.
@@ -14,9 +14,8 @@ WORDS, SHARE = 5, 0.8
 
 def ngrams(df: DataFrame, id_col: str, text: str, n: int = WORDS) -> DataFrame:
     """(id, gram) distinct hashed n-grams; a text of fewer words is one gram."""
-    w = F.split(canonical(F.col(text)), " ")
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - (n - 1), F.lit(1))), lambda i: F.xxhash64(F.array_join(F.slice(w, i, n), " ")))
-    return df.where(F.length(canonical(F.col(text))) > 0).select(F.col(id_col).alias("id"), F.explode(F.array_distinct(grams)).alias("gram"))
+    bare = df.select(F.col(id_col).alias("id"), canonical(F.col(text)).alias("__t")).where(F.length("__t") > 0)
+    return bare.select("id", F.array_distinct(word_groups(F.split("__t", " "), n)).alias("__g")).select("id", F.explode("__g").alias("gram"))
 
 
 def contained(left: DataFrame, right: DataFrame, share: float = SHARE) -> DataFrame:

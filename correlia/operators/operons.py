@@ -31,11 +31,12 @@ def islands(genes: DataFrame, group: list[str], position: str) -> DataFrame:
     return numbered.groupBy(*group, "isla").agg(F.min(position).alias("desde"), F.max(position).alias("hasta"), F.count(F.lit(1)).alias("n"))
 
 
-def runs_within(found: DataFrame, group: list[str], longest: int) -> DataFrame:
-    """Every consecutive run of 2 to `longest` positions inside an island."""
+def runs_within(found: DataFrame, group: list[str], longest: int | None = None) -> DataFrame:
+    """Every consecutive run of 2 or more positions inside an island, up to `longest` if given."""
     start = F.explode(F.sequence(F.col("desde"), F.col("hasta") - 1))
     some = found.where("n > 1").select(*group, "isla", "hasta", start.alias("ini"))
-    return some.select(*group, "isla", "ini", F.explode(F.sequence(F.col("ini") + 1, F.least(F.col("hasta"), F.col("ini") + longest - 1))).alias("fin"))
+    last = F.col("hasta") if longest is None else F.least(F.col("hasta"), F.col("ini") + longest - 1)
+    return some.select(*group, "isla", "ini", F.explode(F.sequence(F.col("ini") + 1, last)).alias("fin"))
 
 
 def strict_subsets(groups: DataFrame) -> DataFrame:

@@ -129,7 +129,8 @@ def eval_percentiles(spark, d):
     return read(spark, d, "texto_unidades").groupBy("seccion").agg(F.round(F.percentile(F.length("texto"), F.lit(0.5)), 6).alias("mediana"), F.round(F.percentile(F.length("texto"), F.lit(0.975)), 6).alias("alto"))
 
 
-@plan("""SELECT regulador, CASE WHEN bool_or(s = '+') AND bool_or(s = '-') THEN 'contradictorio' WHEN NOT bool_or(s = '+') AND NOT bool_or(s = '-') THEN 'solo_duda' WHEN bool_or(s = '?') THEN 'mixto' ELSE 'unico' END AS categoria FROM (SELECT regulador, signo_sugerido AS s FROM muestra_precision_50) x WHERE s IN ('+', '-', '?') GROUP BY 1""")
+@plan("""SELECT regulador, CASE WHEN p AND m THEN 'contradictorio' WHEN (p OR m) AND q THEN 'mezcla' WHEN p OR m THEN 'unico' WHEN q THEN 'solo_interrogacion' ELSE 'sin_disparador' END AS categoria
+FROM (SELECT regulador, coalesce(bool_or(signo_sugerido = '+'), FALSE) AS p, coalesce(bool_or(signo_sugerido = '-'), FALSE) AS m, coalesce(bool_or(signo_sugerido = '?'), FALSE) AS q FROM muestra_precision_50 GROUP BY 1) x""")
 def eval_sign_category(spark, d):
     """Whether the signs of a regulator agree."""
     return E.sign_category(read(spark, d, "muestra_precision_50").select("regulador", F.col("signo_sugerido").alias("s")), ["regulador"], "s")
@@ -153,11 +154,47 @@ def eval_sessions(spark, d):
     return cut.groupBy("id_item", "sesion").agg(F.count(F.lit(1)).alias("n"), (F.max("t") - F.min("t")).alias("dura"))
 
 
-@plan()
+@plan(f"""WITH g AS (SELECT anotador, count(*) FILTER (gold = dicho) AS h, count(*) AS n FROM {_GUESS} g GROUP BY 1),
+t AS (SELECT anotador, sum(exp(lgamma(n + 1) - CASE WHEN i = 0 THEN 0 ELSE lgamma(i + 1) END - CASE WHEN i = n THEN 0 ELSE lgamma(n - i + 1) END + i * ln(1 / 3) + (n - i) * ln(2 / 3))) AS p FROM (SELECT anotador, n, unnest(range(h, n + 1)) AS i FROM g) x GROUP BY 1)
+SELECT g.anotador, h, n, round(least(1, coalesce(p, 0)), 9) AS p FROM g LEFT JOIN t ON t.anotador = g.anotador""")
 def eval_binomial_tail(spark, d):
     """Chance of at least so many agreements by guessing one in three."""
     g = guesses(spark, d).groupBy("anotador").agg(F.count_if(F.col("gold") == F.col("dicho")).alias("h"), F.count(F.lit(1)).alias("n"))
-    return g.select("anotador", "h", "n", E.binomial_tail("h", "n", F.lit(1 / 3)).alias("p"))
+    return g.select("anotador", "h", "n", F.round(E.binomial_tail("h", "n", F.lit(1 / 3)), 9).alias("p"))
+
+
+#: Votes with the sign each person gave, which serves as the direction of the vote.
+_AIMED = f"(SELECT item, anotador, arg_max(v, (t, v, g)) AS v, nullif(arg_max(g, (t, v, g)), '') AS g FROM (SELECT id_item AS item, regexp_replace(lower(trim(anotador)), '[^a-z0-9]+', '_', 'g') AS anotador, {_ANS} AS v, coalesce(trim(signo_correcto), '') AS g, epoch_us(juzgado_en) AS t FROM (SELECT *, lower(trim(juicio)) AS a FROM muestra_precision_50) m) x WHERE v IS NOT NULL GROUP BY 1, 2)"
+
+
+def aimed_votes(spark: SparkSession, d: str) -> DataFrame:
+    """Each person's latest usable answer per item with its sign."""
+    m = read(spark, d, "muestra_precision_50").select(
+        F.col("id_item").alias("item"), F.regexp_replace(F.lower(F.trim("anotador")), "[^a-z0-9]+", "_").alias("anotador"), answer("juicio").alias("v"),
+        F.coalesce(F.trim("signo_correcto"), F.lit("")).alias("g"), F.unix_micros("juzgado_en").alias("t"),
+    )
+    last = m.where("v is not null").groupBy("item", "anotador").agg(F.max(F.struct("t", "v", "g")).alias("m"))
+    return last.select("item", "anotador", F.col("m.v").alias("v"), F.nullif(F.col("m.g"), F.lit("")).alias("g"))
+
+
+@plan(f"""WITH c AS (SELECT item, count(*) FILTER (v = 'si' AND g = '+') AS y1, count(*) FILTER (v = 'si' AND g = '-') AS y2, count(*) FILTER (v = 'dudoso' AND g = '+') AS d1, count(*) FILTER (v = 'dudoso' AND g = '-') AS d2,
+  count(*) FILTER (v = 'no') AS n, arg_min(g, anotador) FILTER (v = 'si' AND g IN ('+', '-')) AS fy, arg_min(g, anotador) FILTER (v = 'dudoso' AND g IN ('+', '-')) AS fd FROM {_AIMED} v GROUP BY 1)
+SELECT item, CASE WHEN y1 + y2 >= 3 AND y1 <> y2 THEN 'si' WHEN y1 + y2 >= 3 OR d1 + d2 > n THEN 'dudoso' ELSE 'no' END AS relacion,
+  CASE WHEN y1 + y2 >= 3 THEN CASE WHEN y1 > y2 THEN '+' WHEN y2 > y1 THEN '-' ELSE fy END WHEN d1 + d2 > n THEN CASE WHEN d1 > d2 THEN '+' WHEN d2 > d1 THEN '-' ELSE fd END ELSE 'ninguna' END AS direccion FROM c""")
+def eval_directed_jury(spark, d):
+    """A jury whose yes votes carry a direction (here the sign); even votes are doubtful."""
+    return E.directed_jury(aimed_votes(spark, d), "item", "anotador", "v", "g", ("+", "-"), 3)
+
+
+@plan(f"""WITH e AS (SELECT id_item, min(regulador) AS regulador, min(blanco) AS blanco, min(signo_sugerido) AS s FROM muestra_precision_50 GROUP BY 1),
+j AS (SELECT regulador, blanco, anotador, CASE WHEN v = 'no' THEN 'rechaza' WHEN v = 'si' AND g = s THEN 'confirma' WHEN v = 'si' AND g IN ('+', '-') THEN 'invierte' ELSE 'dudosa' END AS ver FROM {_AIMED} v JOIN e ON e.id_item = v.item),
+c AS (SELECT regulador, blanco, count(*) AS n, count(DISTINCT anotador) AS jueces, count(DISTINCT CASE WHEN ver = 'confirma' THEN anotador END) AS a_favor, bool_or(ver = 'confirma') AS c, bool_or(ver = 'invierte') AS i, bool_or(ver = 'dudosa') AS d, bool_or(ver = 'rechaza') AS r FROM j GROUP BY 1, 2)
+SELECT regulador, blanco, n, jueces, a_favor, CASE WHEN c THEN 'confirmada' WHEN i THEN 'invertida' WHEN d THEN 'dudosa' WHEN r THEN 'rechazada' ELSE 'sin_juicio' END AS veredicto,
+  CASE WHEN jueces = 0 THEN '' WHEN c AND jueces >= 2 AND a_favor = jueces THEN 'alta' WHEN c THEN 'media' WHEN i THEN 'al_reves' ELSE 'sin_respaldo' END AS nivel FROM c""")
+def eval_edge_verdicts(spark, d):
+    """Verdict and confidence of every regulator-target pair from the judged sentences; the sign is the direction."""
+    e = read(spark, d, "muestra_precision_50").groupBy(F.col("id_item").alias("item")).agg(F.min("regulador").alias("regulador"), F.min("blanco").alias("blanco"), F.min("signo_sugerido").alias("s"))
+    return E.edge_verdicts(aimed_votes(spark, d).join(e, "item"), ["regulador", "blanco"], "anotador", "v", "g", "s", ("+", "-"))
 
 
 @plan()

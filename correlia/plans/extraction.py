@@ -161,13 +161,15 @@ def name_forms(spark, d):
     return read(spark, d, "menciones").where("tipo in ('gen', 'proteina')").select("id", "texto").distinct().select("id", X.protein_form("texto").alias("proteina"), X.gene_form("texto").alias("gen"))
 
 
-@plan("""SELECT id_item, CASE WHEN regexp_matches(o, '\\b(?:no|not|fails to|failed to|unchanged)\\b') THEN 'contraria' WHEN regexp_matches(o, '(?:mutant|deletion|deleting|loss of|knockout|δ)') THEN 'mutante' WHEN regexp_matches(o, '(?:binds|bound by|footprint|emsa|chip-seq|directly)') THEN 'directa' ELSE 'otra' END AS redaccion FROM (SELECT DISTINCT id_item, lower(oracion) AS o FROM juicio_consolidado) x""")
+@plan(f"""SELECT id_item, CASE WHEN regexp_matches(o, '{X.LOSS}') AND regexp_matches(o, '{X.RAISED}') THEN 'fenotipo_mutante' WHEN regexp_matches(o, '{X.DIRECT}') THEN 'directa'
+WHEN regexp_matches(o, '{X.CONTRARY}') THEN 'contraria_aparente' ELSE 'otra' END AS redaccion FROM (SELECT DISTINCT id_item, oracion AS o FROM juicio_consolidado) x""")
 def evidence_wording(spark, d):
     """C14: how a sentence words its evidence."""
     return read(spark, d, "juicio_consolidado").select("id_item", "oracion").distinct().select("id_item", X.wording("oracion").alias("redaccion"))
 
 
-@plan("SELECT ejemplo_id, list_distinct_sorted AS articulos FROM (SELECT ejemplo_id, array_to_string(list_sort(list_distinct(list_filter(list_transform(regexp_extract_all(regexp_replace(pmid, '10\\.\\d{4,}/\\S+', ' ', 'g'), '\\d+'), lambda x: ltrim(x, '0')), lambda x: length(x) BETWEEN 7 AND 9))), ',') AS list_distinct_sorted FROM ejemplos) x")
+@plan(r"""SELECT ejemplo_id, array_to_string(list_sort(list_distinct(list_filter(list_transform(regexp_extract_all(regexp_replace(pmid, '10\.\d{4,}/\S+', ' ', 'g'), '\d+(?:\.\d+)?[eE]\+?\d{1,2}\b|\d+'),
+  lambda x: ltrim(CASE WHEN regexp_matches(x, '[eE]') THEN CAST(TRY_CAST(TRY_CAST(x AS DOUBLE) AS DECIMAL(38, 0)) AS VARCHAR) ELSE x END, '0')), lambda x: length(x) BETWEEN 7 AND 8))), ',') AS articulos FROM ejemplos""")
 def article_cells(spark, d):
     """Article numbers of a cell that may name several."""
     return read(spark, d, "ejemplos").select("ejemplo_id", F.array_join(F.array_sort(X.article_ids("pmid")), ",").alias("articulos"))

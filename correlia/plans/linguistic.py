@@ -45,9 +45,9 @@ def vocabulary_tags(spark, d):
     return L.tag_vocabulary(read(spark, d, "texto_unidades").select("id", "texto").distinct(), "id", "texto", VOCABULARY)
 
 
-@plan("SELECT DISTINCT d.doc_id FROM documents d JOIN items_evaluacion i ON length(i.text) > 0 AND length(d.text) > 0 AND (contains(d.text, i.text) OR (contains(i.text, d.text) AND len(list_filter(string_split_regex(lower(d.text), '\\W+'), lambda x: x <> '')) >= 7))")
+@plan("SELECT DISTINCT d.doc_id FROM documents d JOIN items_evaluacion i ON length(i.text) > 0 AND length(d.text) > 0 AND (contains(d.text, i.text) OR contains(i.text, d.text))")
 def reserved_texts(spark, d):
-    """F8: texts that equal, hold, or (from seven words on) lie within a reserved one."""
+    """F8: texts that equal, hold, or lie within a reserved one."""
     return L.contained_texts(read(spark, d, "documents").select("doc_id", "text"), read(spark, d, "items_evaluacion").select(F.col("text").alias("reservada")), "doc_id", "text")
 
 

@@ -31,7 +31,7 @@ def gene_values(spark: SparkSession, d: str) -> DataFrame:
 _KEY = "array_to_string(list_sort(list_distinct(genes)), '|')"
 
 
-@plan(f"""WITH r AS (SELECT {_KEY} AS clave, fuente, cadena, CASE WHEN tipo_evidencia = 'curada' THEN 1 WHEN tipo_evidencia IS NULL THEN 3 ELSE 2 END AS nivel, list_filter(regexp_extract_all(coalesce(pmid, ''), '\\d+'), lambda x: length(x) BETWEEN 7 AND 9) AS pmids FROM {_LOCI} l WHERE len(genes) > 0)
+@plan(f"""WITH r AS (SELECT {_KEY} AS clave, fuente, cadena, CASE WHEN tipo_evidencia = 'curada' THEN 1 WHEN tipo_evidencia IS NULL THEN 3 ELSE 2 END AS nivel, list_filter(regexp_extract_all(coalesce(pmid, ''), '\\d+'), lambda x: length(x) BETWEEN 7 AND 8) AS pmids FROM {_LOCI} l WHERE len(genes) > 0)
 SELECT clave, count(*) AS n, min(nivel) AS nivel, string_agg(DISTINCT fuente, ';' ORDER BY fuente) AS fuentes, len(list_distinct(flatten(list(pmids)))) AS n_articulos, CASE count(DISTINCT cadena) WHEN 0 THEN 'no_verificada' WHEN 1 THEN 'unica' ELSE 'distintas' END AS hebra, bool_or(len(pmids) > 0) AS con_cita, len(string_split(clave, '|')) AS n_genes FROM r GROUP BY clave""")
 def operon_silver(spark, d):
     """One row per gene set with the best level, its sources, articles and strands."""
@@ -61,6 +61,12 @@ def operon_runs(spark, d):
     return O.runs_within(O.islands(positions(spark, d), ["id_fuente"], "pos"), ["id_fuente"], 5).select("id_fuente", "ini", "fin")
 
 
+@plan(f"SELECT id_fuente, a AS ini, unnest(range(a + 1, hasta + 1)) AS fin FROM (SELECT id_fuente, hasta, unnest(range(desde, hasta)) AS a FROM {_ISL} i WHERE n > 1) x")
+def operon_runs_whole(spark, d):
+    """Every run of two or more neighbours within an island."""
+    return O.runs_within(O.islands(positions(spark, d), ["id_fuente"], "pos"), ["id_fuente"]).select("id_fuente", "ini", "fin")
+
+
 @plan(f"WITH g AS (SELECT DISTINCT {_KEY} AS clave, list_distinct(genes) AS genes FROM {_LOCI} l WHERE len(genes) > 0), k AS (SELECT clave, any_value(genes) AS genes FROM g GROUP BY 1) SELECT a.clave, min(b.clave) AS contenida_en, count(*) AS n_mayores FROM k a JOIN k b ON a.clave <> b.clave AND len(a.genes) < len(b.genes) AND list_has_all(b.genes, a.genes) GROUP BY 1")
 def operon_subsets(spark, d):
     """Gene sets that lie within a larger one."""

@@ -30,10 +30,12 @@ def local_session(cores: str = "8", partitions: int = 8) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names in spark.checkpoint.dir; make one only where none is set (tests)."""
+    """Use the shared folder the cluster names in spark.checkpoint.dir; make one only where none is set and all runs in one process (tests)."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         named = sc.getConf().get("spark.checkpoint.dir", None)
+        if not named and not sc.master.split("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a folder that all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="correlia-ckpt-"))
 
 
@@ -47,9 +49,9 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
-    """Keys that hold at least `share` of the rows: at most 1 / share of them, whatever the input."""
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, nulls: bool = False) -> list:
+    """Keys that hold at least `share` of the rows: at most 1 / share of them, whatever the input; with `nulls`, None may be one."""
+    counts = (df if nulls else df.where(F.col(key).isNotNull())).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     total = df.agg(F.count(F.lit(1)).alias("total"))
     rows = counts.crossJoin(F.broadcast(total)).where((F.col("n") >= F.col("total") * share) & (F.col("n") > 1)).select(key).collect()
     return [r[0] for r in rows]
@@ -59,9 +61,18 @@ def lookup_join(df: DataFrame, table: DataFrame, key: str, how: str = "left", ho
     """Join `df`, whose `key` may be skewed, with `table`, in which `key` is unique.
 
     Hot keys are at most 1 / HOT_SHARE, so their part of `table` is broadcast; all other rows are
-    joined by a shuffle in which no key holds more than HOT_SHARE of the rows.
+    joined by a shuffle in which no key holds more than HOT_SHARE of the rows. Null keys meet nothing; if they are
+    many, they stay out of the shuffle. `how` is `left` or `inner`; a caller that gives `hot` has no null keys.
     """
-    hot = hot_keys(df, key) if hot is None else hot
+    if how not in ("left", "inner"):
+        raise ValueError(f"left or inner, not {how}")
+    hot = hot_keys(df, key, nulls=True) if hot is None else hot
+    if None in hot:
+        rest = lookup_join(df.where(F.col(key).isNotNull()), table, key, how, [k for k in hot if k is not None])
+        if how == "inner":
+            return rest
+        more = [F.lit(None).cast(t).alias(c) for c, t in table.dtypes if c != key]
+        return rest.unionByName(df.where(F.col(key).isNull()).select("*", *more))
     if not hot:
         return df.join(table, key, how)
     is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))

@@ -88,3 +88,9 @@ def test_the_rest_needs_nothing_of_the_subpackage():
     root = pathlib.Path(__file__).resolve().parent.parent / "correlia"
     users = [p for p in root.rglob("*.py") if "llm" not in p.relative_to(root).parts and re.search(r"correlia\.llm|from correlia import llm", p.read_text())]
     assert not users
+
+
+def test_short_texts_in_reserved_ones(spark):
+    d = spark.createDataFrame([(1, "a red"), (2, "它上升"), (3, "x"), (4, "the old red gene of the cell rose in the end"), (5, "none"), (6, ""), (7, None), (8, "gene z9 q")], "i int, t string")
+    r = spark.createDataFrame([("It is a red gene.",), ("然后它上升了",), ("gene of the cell",), (None,), ("z9",)], "reservada string")
+    assert {x.i for x in L.contained_texts(d, r, "i", "t").collect()} == {1, 2, 4, 8}

@@ -1,5 +1,6 @@
 """Hand-made cases: nulls, ties, repeats, empty tables, skew."""
 
+from correlia import runtime
 from correlia.functions import text as X
 from correlia.operators import components, evaluate, ingest, mentions, neardup, network, operons, sampling, scoring
 from correlia.runtime import hot_keys, lookup_join
@@ -131,3 +132,42 @@ def test_scoring_skips_what_is_cached(spark):
 def test_annotation_rules(spark):
     df = spark.createDataFrame([("no", "1>2", "+", "no", "no", ""), ("si", "1>2", "+", "no", "no", ""), ("dudoso", "2>1", "?", "no", "no", " ")], "relacion string, direccion string, signo string, negada string, especulativa string, comentario string")
     assert [r[0] for r in df.select(scoring.broken_rules()).collect()] == [["no_sin_ninguna", "no_con_signo"], [], ["aviso_dudoso_sin_comentario"]]
+
+
+def test_wording_takes_the_first_class_that_fits(spark):
+    cases = {"In the mutant its level is elevated and it activates": "fenotipo_mutante", "It activates the old gene": "directa", "It upregulates the gene": "contraria_aparente", "It upregulates a mutant": "fenotipo_mutante", "It was there": "otra"}
+    for text, want in cases.items():
+        assert one(spark, X.wording("c"), text) == want
+
+
+def test_article_numbers_in_scientific_notation(spark):
+    assert one(spark, X.article_ids("c"), "1.2345678E7; 123456789 7654321.0 99") == ["12345678", "7654321"]
+
+
+def test_binomial_tail_of_many(spark):
+    df = spark.createDataFrame([(1100, 2000, 0.5), (0, 5, 0.3), (6, 5, 0.3), (50_000, 100_000, 0.5)], "h int, n int, p double")
+    got = [r[0] for r in df.select(evaluate.binomial_tail("h", "n", "p")).collect()]
+    assert abs(got[0] - 4.18e-6) < 2e-7 and got[1:3] == [1.0, 0.0] and abs(got[3] - 0.50126) < 1e-4
+
+
+def test_directed_jury(spark):
+    rows = [(1, "a", "si", "+"), (1, "b", "si", "+"), (1, "c", "si", "-"), (2, "b", "si", "-"), (2, "c", "si", "+"), (3, "a", "no", None), (3, "b", "dudoso", "-"), (3, "c", "dudoso", "-"), (4, "a", "si", None), (5, "a", None, None), (6, "a", "no", "+")]
+    df = spark.createDataFrame(rows, "i int, who string, v string, g string")
+    got = {r.i: (r.relacion, r.direccion) for r in evaluate.directed_jury(df, "i", "who", "v", "g", ("+", "-"), 2).collect()}
+    assert got == {1: ("si", "+"), 2: ("dudoso", "-"), 3: ("dudoso", "-"), 4: ("no", "ninguna"), 5: (None, None), 6: ("no", "ninguna")}
+
+
+def test_edge_verdicts(spark):
+    rows = [("x", "a", "si", "+", "+"), ("x", "b", "si", "+", "+"), ("y", "a", "si", "-", "+"), ("z", "a", "si", "?", "+"), ("z", "b", "no", None, "+"), ("w", "a", "no", None, "+"), ("v", "a", None, None, "+"), ("u", "a", "si", "+", "+")]
+    df = spark.createDataFrame(rows, "e string, who string, v string, g string, s string")
+    got = {r.e: (r.veredicto, r.nivel) for r in evaluate.edge_verdicts(df, ["e"], "who", "v", "g", "s", ("+", "-")).collect()}
+    assert got == {"x": ("confirmada", "alta"), "y": ("invertida", "al_reves"), "z": ("dudosa", "sin_respaldo"), "w": ("rechazada", "sin_respaldo"), "v": ("sin_juicio", ""), "u": ("confirmada", "media")}
+
+
+def test_lookup_join_keeps_many_null_keys_out_of_the_shuffle(spark):
+    df = spark.range(3000).select(F.when(F.col("id") % 3 > 0, F.col("id") % 50).alias("k"), "id")
+    table = spark.range(60).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    for how in ("left", "inner"):
+        want = df.join(table, "k", how)
+        got = runtime.lookup_join(df, table, "k", how)
+        assert got.columns == want.columns and sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
