@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from correlia.operators import sampling as S
 from correlia.operators.components import propagate
 from correlia.plans import network as P
+from correlia.operators.group_splits import assign_splits, balance
 from correlia.plans.base import plan
 from correlia.runtime import read
 
@@ -69,3 +70,17 @@ def graph_components(spark, d):
     edges = pairs.select(F.col("tf").alias("node"), "ent").unionByName(pairs.select(F.col("target").alias("node"), "ent"))
     nodes = edges.select("node").distinct()
     return nodes.join(propagate(edges), "node", "left").select(F.col("node").alias("nodo"), F.coalesce("label", "node").alias("componente"))
+
+
+@plan()
+def group_splits(spark, d):
+    """Articles go to train, validation and test as wholes, with like shares of each label."""
+    e = read(spark, d, "ejemplos")
+    groups = e.select("ejemplo_id", F.xxhash64(F.coalesce(F.trim("pmid"), F.concat(F.lit("?"), F.col("ejemplo_id").cast("string")))).alias("grupo_id")).dropDuplicates(["ejemplo_id"])
+    return assign_splits(e, groups)
+
+
+@plan()
+def group_splits_balance(spark, d):
+    """By how much each split's share of each label departs from the one asked for."""
+    return balance(group_splits(spark, d), read(spark, d, "ejemplos"), "ejemplo_id", "label")

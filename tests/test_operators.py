@@ -2,7 +2,7 @@
 
 from correlia import runtime
 from correlia.functions import text as X
-from correlia.operators import components, evaluate, ingest, mentions, neardup, network, operons, sampling, scoring
+from correlia.operators import components, evaluate, group_splits, ingest, mentions, neardup, network, operons, sampling, scoring
 from correlia.runtime import hot_keys, lookup_join
 from pyspark.sql import functions as F
 
@@ -171,3 +171,13 @@ def test_lookup_join_keeps_many_null_keys_out_of_the_shuffle(spark):
         want = df.join(table, "k", how)
         got = runtime.lookup_join(df, table, "k", how)
         assert got.columns == want.columns and sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
+
+
+def test_group_splits_balance_every_label(spark):
+    rows = spark.range(20_000).select(F.col("id").alias("i"), F.when(F.col("id") % 2000 == 0, F.concat(F.lit("rare"), (F.col("id") % 7).cast("string"))).when(F.col("id") % 5 == 0, "b").when(F.col("id") % 11 == 0, None).otherwise("a").alias("label"))
+    groups = rows.select("i", F.when(F.col("i") < 5000, -1).otherwise(F.floor(F.col("i") / 4)).alias("grupo_id"))
+    got = group_splits.assign_splits(rows, groups, "i").cache()
+    assert got.count() == 20_000 and got.groupBy("grupo_id").agg(F.count_distinct("split").alias("n")).where("n > 1").isEmpty()
+    off = {(r.split, r.label): abs(r.desviacion) for r in group_splits.balance(got, rows, "i", "label").collect()}
+    assert max(v for (_, k), v in off.items() if k in ("a", "b", "(none)")) < 0.01
+    assert group_splits.assign_splits(rows.limit(0), groups.limit(0), "i").isEmpty()
