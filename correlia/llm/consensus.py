@@ -3,7 +3,8 @@
 For every class c an answer counts A = [answer = c] - (that person's share of c), so a person who always
 says the same sends nothing. On each answer edge an item tells its annotator x = sum of A * y over its other
 annotators, and the annotator tells the item y = correlation of A and x over their other items. Messages are
-updated until no annotator's reliability moves by more than TOLERANCE. A settled label takes part as the
+updated until no annotator's reliability moves by more than TOLERANCE; if that does not come about within ROUNDS
+rounds (messages that swing between two states), what the last round moved is told beside the reliabilities. A settled label takes part as the
 answers of one more annotator, `GOLD`, which carries no vote of its own in the result.
 
 Reliability = the correlations averaged over the classes by variance, in [-1, 1]. A vote weighs
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from correlia.runtime import durable, hot_keys, lookup_join
 
-TOLERANCE, ROUNDS, DEPENDABLE, GOLD = 1e-3, 25, 0.15, "(gold)"
+TOLERANCE, ROUNDS, DEPENDABLE, GOLD = 1e-3, 100, 0.15, "(gold)"
 #: The spellings of the answers.
 ANSWERS = {"si": ["si", "sí", "s", "yes", "y"], "no": ["no", "n"], "dudoso": ["dudoso", "dudosa", "duda", "?", "？"]}
 SIGNS = {"+": ["+", "＋", "pos", "positivo", "positive", "activa"], "-": ["-", "–", "−", "—", "－", "neg", "negativo", "negative", "reprime"], "?": ["?", "？"]}
@@ -57,7 +58,7 @@ def _back(edges: DataFrame, table: DataFrame, key: str, hot: list) -> DataFrame:
 
 
 def reliabilities(answers: DataFrame, settled: DataFrame | None, classes: list[str]) -> DataFrame:
-    """(who, n, rel array by class, reliability) from (item, who, label) and optional (item, label)."""
+    """(who, n, rel array by class, reliability, moved) from (item, who, label) and optional (item, label); moved: by how much the last round moved any reliability."""
     edges = answers.select("item", "who", "label")
     if settled is not None:
         known = settled.where("item is not null and label is not null").groupBy("item").agg(F.min("label").alias("label"))
@@ -70,7 +71,8 @@ def reliabilities(answers: DataFrame, settled: DataFrame | None, classes: list[s
     a = [((F.col("label") == c).cast("double") - F.col(f"p{i}")).alias(f"a{i}") for i, c in enumerate(classes)]
     state = _back(edges, rates, "who", hot_who).select("item", "who", *a, *[F.lit(1.0).alias(f"y{i}") for i in k])
     state = durable(state)
-    old: dict | None = None
+    old: DataFrame | None = None
+    moved = None
     for _ in range(ROUNDS):
         sums = state.groupBy("item").agg(*[F.sum(F.col(f"a{i}") * F.col(f"y{i}")).alias(f"s{i}") for i in k])
         told = _back(state, sums, "item", hot_item)
@@ -93,7 +95,7 @@ def reliabilities(answers: DataFrame, settled: DataFrame | None, classes: list[s
             if moved is None or moved <= TOLERANCE:
                 break
         old = rel
-    return rel
+    return rel.withColumn("moved", F.lit(moved).cast("double"))
 
 
 def consensus(answers: DataFrame, rel: DataFrame, settled: DataFrame | None, classes: list[str]) -> DataFrame:
@@ -116,7 +118,7 @@ def consensus(answers: DataFrame, rel: DataFrame, settled: DataFrame | None, cla
 
 
 def label_items(sample: DataFrame, settled: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """Labels (id_item, campo, valor, acuerdo, n) and reliabilities (anotador, campo, n, fiabilidad) of both fields."""
+    """Labels (id_item, campo, valor, acuerdo, n) and reliabilities (anotador, campo, n, fiabilidad, movimiento) of both fields."""
     answers = durable(latest(sample, "id_item", "anotador", spelled("juicio", ANSWERS), "juzgado_en", spelled("signo_correcto", SIGNS)))
     known = None if settled is None else settled.select(F.col("id_item").alias("item"), spelled("relacion", ANSWERS).alias("label"))
     rel = reliabilities(answers, known, list(ANSWERS))
@@ -127,7 +129,7 @@ def label_items(sample: DataFrame, settled: DataFrame | None) -> tuple[DataFrame
     rel_sign = reliabilities(signs, known_sign, list(SIGNS))
     sign = consensus(signs, rel_sign, known_sign, list(SIGNS))
     out = [x.select(F.col("item").alias("id_item"), F.lit(f).alias("campo"), F.col("label").alias("valor"), F.round("agreement", 6).alias("acuerdo"), "n") for f, x in (("juicio", labels), ("signo_correcto", sign))]
-    who = [x.where(F.col("who") != GOLD).select(F.col("who").alias("anotador"), F.lit(f).alias("campo"), "n", F.round("reliability", 6).alias("fiabilidad")) for f, x in (("juicio", rel), ("signo_correcto", rel_sign))]
+    who = [x.where(F.col("who") != GOLD).select(F.col("who").alias("anotador"), F.lit(f).alias("campo"), "n", F.round("reliability", 6).alias("fiabilidad"), F.round("moved", 9).alias("movimiento")) for f, x in (("juicio", rel), ("signo_correcto", rel_sign))]
     return out[0].unionByName(out[1]), who[0].unionByName(who[1])
 
 

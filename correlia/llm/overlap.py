@@ -32,17 +32,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from correlia.llm.splits import MARKS
-from correlia.runtime import durable
+from correlia.runtime import durable, lookup_join
 
 SHARE = 0.8
 #: Words and word groups that make at least this share of all words are frequent: at most 25,000 words (and as many groups of each length).
 FREQUENT = 4e-5
 #: Longest word group that serves as key, longest segment, and estimated shares of what is not frequent.
 GRAM, SEGMENT, RARE_WORD, RARE_GRAM = 4, 12, 1e-5, 2e-5
-#: Texts beyond this many words are cut evenly: their segments are as many, only not chosen.
+#: Texts beyond this many words are cut evenly: any cut into k + 1 segments finds every match, a chosen one costs less in the
+#: join, but to choose takes time as the square of the length.
 CHOSEN_UPTO = 96
-#: Width of a position bucket; parts into which the training rows of a frequent key are dealt.
-BUCKET, SALT = 8, 16
+#: Width of a position bucket; index rows of a key, and rows of a class of equal texts, that one task is to hold.
+BUCKET, PART_ROWS = 8, 20_000
 
 _MARK = re.compile(MARKS)
 _WORD = re.compile(r"[^\W_]+")
@@ -164,8 +165,8 @@ def _frequent_words(texts: DataFrame) -> set[str]:
     return {r["w"] for r in words.where(F.col("n") >= max(2, total * FREQUENT)).select("w").collect()}
 
 
-def _frequent_keys(texts: DataFrame, frequent) -> dict[int, float]:
-    """Share of the training words at which a key stands, for keys that reach FREQUENT."""
+def _frequent_keys(texts: DataFrame, frequent) -> tuple[dict[int, float], int]:
+    """Share of the training words at which a key stands, for keys that reach FREQUENT; and the number of these words."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         common, seen = frequent.value, Counter()
@@ -180,7 +181,7 @@ def _frequent_keys(texts: DataFrame, frequent) -> dict[int, float]:
 
     counts = durable(texts.select("canon").mapInPandas(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")))
     total = texts.agg(F.sum(F.size(F.split("canon", " ")))).first()[0] or 1
-    return {r["key"]: r["n"] / total for r in counts.where(F.col("n") >= max(2, total * FREQUENT)).collect()}
+    return {r["key"]: r["n"] / total for r in counts.where(F.col("n") >= max(2, total * FREQUENT)).collect()}, total
 
 
 def near_links(classes: DataFrame) -> DataFrame:
@@ -188,8 +189,9 @@ def near_links(classes: DataFrame) -> DataFrame:
     spark = classes.sparkSession
     train, held = classes.where("in_train").select("clase", "canon"), classes.where("in_held").select("clase", "canon")
     common = spark.sparkContext.broadcast(_frequent_words(train))
-    shares = spark.sparkContext.broadcast(_frequent_keys(train, common))
-    schema = "clase long, n int, one long, two long, pos int, key long, salted boolean"
+    found, total = _frequent_keys(train, common)
+    shares = spark.sparkContext.broadcast(found)
+    schema = "clase long, n int, one long, two long, pos int, key long, parts int"
 
     def rows(batches: Iterator[pd.DataFrame], keys) -> Iterator[pd.DataFrame]:
         frequent, share = common.value, shares.value
@@ -198,25 +200,25 @@ def near_links(classes: DataFrame) -> DataFrame:
             for clase, canon in zip(pdf["clase"], pdf["canon"]):
                 words = canon.split(" ")
                 sig = _signature(words)
-                out += [(clase, len(words), *sig, pos, key, key in share) for pos, key in keys(words, frequent, share)]
+                out += [(clase, len(words), *sig, pos, key, ceil(share.get(key, 0) * total / PART_ROWS) or 1) for pos, key in keys(words, frequent, share)]
                 if len(out) > 50_000:
-                    yield pd.DataFrame(out, columns=["clase", "n", "one", "two", "pos", "key", "salted"])
+                    yield pd.DataFrame(out, columns=["clase", "n", "one", "two", "pos", "key", "parts"])
                     out = []
             if out:
-                yield pd.DataFrame(out, columns=["clase", "n", "one", "two", "pos", "key", "salted"])
+                yield pd.DataFrame(out, columns=["clase", "n", "one", "two", "pos", "key", "parts"])
 
     def substrings(words, frequent, share):
         return [(pos, key) for pos, _, key in _grams(words, frequent)]
 
     index = train.mapInPandas(lambda b: rows(b, substrings), schema)
-    index = index.withColumn("bucket", F.floor(F.col("pos") / BUCKET)).withColumn("salt", F.when(F.col("salted"), F.pmod(F.xxhash64("clase"), F.lit(SALT))).otherwise(0))
+    index = index.withColumn("bucket", F.floor(F.col("pos") / BUCKET)).withColumn("salt", F.pmod(F.xxhash64("clase"), F.col("parts")))
     probes = held.mapInPandas(lambda b: rows(b, choose_segments), schema)
     # A segment moves left by the words the held text may lose, right by those the training text may add.
     left = F.col("n") - F.ceil(F.col("n") * SHARE - 1e-9)
     right = F.floor(F.col("n") / SHARE + 1e-9) - F.ceil(F.floor(F.col("n") / SHARE + 1e-9) * SHARE - 1e-9)
     probes = probes.withColumns({"lo": F.greatest(F.lit(0), F.col("pos") - left), "hi": F.col("pos") + right})
     probes = probes.withColumn("bucket", F.explode(F.sequence(F.floor(F.col("lo") / BUCKET), F.floor(F.col("hi") / BUCKET))))
-    probes = probes.withColumn("salt", F.explode(F.when(F.col("salted"), F.sequence(F.lit(0), F.lit(SALT - 1))).otherwise(F.array(F.lit(0)))))
+    probes = probes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     p, t = probes.alias("p"), index.alias("t")
     need = F.ceil(F.greatest("p.n", "t.n") * SHARE - 1e-9)
     missing = lambda a, b: F.bit_count(F.col(f"{a}.one").bitwiseAND(F.bitwise_not(f"{b}.one"))) + F.bit_count(F.col(f"{a}.two").bitwiseAND(F.bitwise_not(f"{b}.two")))
@@ -248,12 +250,28 @@ def links(rows: DataFrame, classes: DataFrame) -> DataFrame:
     return durable(near_links(classes).unionByName(both))
 
 
+def members(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """(id, side, clase) of every row; the classes with many rows go through `lookup_join`."""
+    return lookup_join(rows, classes.select("canon", "clase"), "canon", "inner").select("id", "side", "clase")
+
+
 def row_pairs(rows: DataFrame, classes: DataFrame, linked: DataFrame) -> DataFrame:
-    """Row pairs (ejemplo_a, ejemplo_b), smaller id first; the rows of a class are dealt into SALT parts on both sides."""
-    member = rows.join(classes.select("canon", "clase"), "canon").select("id", "side", "clase")
-    parts = F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)))
-    a = member.where("side = 'held'").select(F.col("id").alias("x"), F.col("clase").alias("held"), F.pmod(F.xxhash64("id"), F.lit(SALT)).alias("ph"))
-    b = member.where("side = 'train'").select(F.col("id").alias("y"), F.col("clase").alias("train"), F.pmod(F.xxhash64("id"), F.lit(SALT)).alias("pt"))
-    spread = linked.withColumn("ph", parts)
-    half = spread.join(a, ["held", "ph"]).select("x", "train").withColumn("pt", parts)
-    return half.join(b, ["train", "pt"]).select(F.least("x", "y").alias("ejemplo_a"), F.greatest("x", "y").alias("ejemplo_b"))
+    """Row pairs (ejemplo_a, ejemplo_b), smaller id first; the rows of a class are dealt into parts of about PART_ROWS on both sides.
+
+    A class with m training and n evaluation rows gives m * n pairs, as the result asks for row pairs; `links` and
+    `members` say the same without them.
+    """
+    member = durable(members(rows, classes))
+    sizes = durable(member.groupBy("clase", "side").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).alias("parts")))
+    parts_of = lambda side, key: sizes.where(F.col("side") == side).select(F.col("clase").alias(key), "parts")
+
+    def dealt(side: str, key: str, id_to: str) -> DataFrame:
+        mine = member.where(F.col("side") == side).select(F.col("id").alias(id_to), F.col("clase").alias(key))
+        return lookup_join(mine, parts_of(side, key), key, "inner").withColumn("part", F.pmod(F.xxhash64(id_to), F.col("parts"))).drop("parts")
+
+    def spread(df: DataFrame, side: str, key: str) -> DataFrame:
+        return lookup_join(df, parts_of(side, key), key, "inner").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts")
+
+    half = durable(spread(linked, "held", "held").join(dealt("held", "held", "x"), ["held", "part"]).select("x", "train"))
+    pairs = spread(half, "train", "train").join(dealt("train", "train", "y"), ["train", "part"])
+    return pairs.select(F.least("x", "y").alias("ejemplo_a"), F.greatest("x", "y").alias("ejemplo_b"))

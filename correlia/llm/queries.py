@@ -27,6 +27,11 @@ def p1_balance(spark: SparkSession, d: str) -> DataFrame:
     return p1_splits(spark, d).join(rows.select("ejemplo_id", label), "ejemplo_id").groupBy("split", "label").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("grupo_id").alias("n_grupos"))
 
 
+def p1_deviation(spark: SparkSession, d: str) -> DataFrame:
+    """Per split and label: rows, share of the label's rows, share asked for, difference."""
+    return splits.balance(p1_splits(spark, d), read(spark, d, "ejemplos"), "ejemplo_id", "label")
+
+
 def p2_sentences(spark: SparkSession, d: str) -> DataFrame:
     """Every sentence with its order, offsets and text."""
     return sentences.cut_sentences(sentences.project_texts(read(spark, d, "documentos"), read(spark, d, "texto_unidades")))
@@ -58,6 +63,17 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return overlap.row_pairs(*_overlap(spark, d))
 
 
+def p5_links(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of classes of equal texts that match (clase_held, clase_train): every link between different texts once."""
+    return _overlap(spark, d)[2].select(F.col("held").alias("clase_held"), F.col("train").alias("clase_train"))
+
+
+def p5_members(spark: SparkSession, d: str) -> DataFrame:
+    """Side and class of every row: with p5_links it says what p5_found writes out pair by pair."""
+    rows, classes, _ = _overlap(spark, d)
+    return overlap.members(rows, classes).select(F.col("id").alias("ejemplo_id"), F.col("side").alias("lado"), "clase")
+
+
 def p5_report(spark: SparkSession, d: str) -> DataFrame:
     """Evaluation rows with a match in training, by split and source."""
     rows, classes, linked = _overlap(spark, d)
@@ -118,5 +134,5 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_splits, p1_balance, p2_found, p2_sentences, p4_found, p4_pairs, p5_found, p5_report, p6_found, p6_annotators, p6_agreement, p7_containers, p7_fill, p8_found, p8_leaks, p8_report, p9_found, p9_stats)
+    f.__name__: f for f in (p1_found, p1_splits, p1_balance, p1_deviation, p2_found, p2_sentences, p4_found, p4_pairs, p5_found, p5_links, p5_members, p5_report, p6_found, p6_annotators, p6_agreement, p7_containers, p7_fill, p8_found, p8_leaks, p8_report, p9_found, p9_stats)
 }

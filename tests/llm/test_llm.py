@@ -215,6 +215,23 @@ def test_overlap_against_all_pairs(spark):
     assert overlap.links(e, overlap.classes_of(e)).count() == 0
 
 
+def test_long_and_often_copied_texts_are_compared_whole(spark, monkeypatch):
+    monkeypatch.setattr(overlap, "PART_ROWS", 7)
+    rnd = random.Random(13)
+    long = [f"w{rnd.randrange(400)}" for _ in range(2000)]
+    near = [w if rnd.random() > 0.08 else "new" for w in long]
+    far = [w if rnd.random() > 0.4 else "new" for w in long]
+    rows = [(1, " ".join(long), "train"), (2, " ".join(near), "dev"), (3, " ".join(far), "test")]
+    rows += [(100 + i, "one stock sentence of six words", "train" if i % 3 else "dev") for i in range(60)]
+    df = spark.createDataFrame(rows, "ejemplo_id long, text string, particion string")
+    r = overlap.sided_rows(df)
+    c = overlap.classes_of(r)
+    got = {(x.ejemplo_a, x.ejemplo_b) for x in overlap.row_pairs(r, c, overlap.links(r, c)).collect()}
+    copies = range(100, 160)
+    assert got == {(1, 2)} | {(min(a, b), max(a, b)) for a in copies for b in copies if a % 3 != 1 and b % 3 == 1}
+    assert overlap.members(r, c).count() == 63
+
+
 # 6: consensus
 
 
