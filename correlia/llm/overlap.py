@@ -11,6 +11,10 @@ bit-parallel, verifies the rest.
 Equal texts are one class before the join, so copies cost nothing; `classes_of` gives the classes,
 `near_links` the pairs of class representatives, `row_pairs` the pairs of rows.
 
+Spark takes a text for 20 bytes and the sixty substrings of one for less than the text, so by its estimates it would
+broadcast, through the driver, what is hundreds of times the session's limit. Joins whose sides are known by such estimates
+alone are merge joins, and texts are joined by their digest, so that no text reaches the driver.
+
 Defined cases: null texts and texts without a word match nothing; a null split is neither training nor
 evaluation; repeated rows of an id count once; an empty side gives an empty result; texts of any length
 are compared whole.
@@ -219,7 +223,7 @@ def near_links(classes: DataFrame) -> DataFrame:
     probes = probes.withColumns({"lo": F.greatest(F.lit(0), F.col("pos") - left), "hi": F.col("pos") + right})
     probes = probes.withColumn("bucket", F.explode(F.sequence(F.floor(F.col("lo") / BUCKET), F.floor(F.col("hi") / BUCKET))))
     probes = probes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    p, t = probes.alias("p"), index.alias("t")
+    p, t = probes.alias("p"), index.hint("merge").alias("t")
     need = F.ceil(F.greatest("p.n", "t.n") * SHARE - 1e-9)
     missing = lambda a, b: F.bit_count(F.col(f"{a}.one").bitwiseAND(F.bitwise_not(f"{b}.one"))) + F.bit_count(F.col(f"{a}.two").bitwiseAND(F.bitwise_not(f"{b}.two")))
     found = p.join(
@@ -235,7 +239,8 @@ def near_links(classes: DataFrame) -> DataFrame:
             keep = [similar(a.split(" "), b.split(" ")) for a, b in zip(pdf["a"], pdf["b"])]
             yield pdf.loc[keep, ["held", "train"]]
 
-    texts = pairs.join(held.select(F.col("clase").alias("held"), F.col("canon").alias("a")), "held").join(train.select(F.col("clase").alias("train"), F.col("canon").alias("b")), "train")
+    text_of = lambda side, key, name: side.select(F.col("clase").alias(key), F.col("canon").alias(name)).hint("merge")
+    texts = pairs.join(text_of(held, "held", "a"), "held").join(text_of(train, "train", "b"), "train")
     return texts.mapInPandas(verify, "held long, train long")
 
 
@@ -252,7 +257,8 @@ def links(rows: DataFrame, classes: DataFrame) -> DataFrame:
 
 def members(rows: DataFrame, classes: DataFrame) -> DataFrame:
     """(id, side, clase) of every row; the classes with many rows go through `lookup_join`."""
-    return lookup_join(rows, classes.select("canon", "clase"), "canon", "inner").select("id", "side", "clase")
+    digest = F.sha2("canon", 256).alias("digest")
+    return lookup_join(rows.select("id", "side", digest), classes.select(digest, "clase").hint("merge"), "digest", "inner").select("id", "side", "clase")
 
 
 def row_pairs(rows: DataFrame, classes: DataFrame, linked: DataFrame) -> DataFrame:

@@ -77,7 +77,7 @@ def p5_members(spark: SparkSession, d: str) -> DataFrame:
 def p5_report(spark: SparkSession, d: str) -> DataFrame:
     """Evaluation rows with a match in training, by split and source."""
     rows, classes, linked = _overlap(spark, d)
-    held = rows.where("side = 'held'").join(classes.select("canon", "clase"), "canon")
+    held = overlap.members(rows, classes).where("side = 'held'")
     hit = held.join(linked.select(F.col("held").alias("clase")).distinct(), "clase", "left_semi").select(F.col("id").alias("ejemplo_id"), F.lit(1).alias("hit"))
     all_held = read(spark, d, "ejemplos").where("particion in ('dev', 'test')").select("ejemplo_id", "particion", F.coalesce("fuente", F.lit("(none)")).alias("fuente")).dropDuplicates(["ejemplo_id"])
     return all_held.join(hit, "ejemplo_id", "left").groupBy("particion", "fuente").agg(F.count(F.lit(1)).alias("n_filas"), F.count("hit").alias("n_repetidas"))

@@ -10,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from correlia import runtime
 from correlia.llm import consensus, cooccur, leakage, overlap, packing, quality, sentences, splits
 from correlia.llm.queries import QUERIES
 
@@ -232,6 +233,28 @@ def test_long_and_often_copied_texts_are_compared_whole(spark, monkeypatch):
     assert overlap.members(r, c).count() == 63
 
 
+def test_overlap_broadcasts_nothing_by_estimate(spark, monkeypatch):
+    plans, keys, keep, find = [], [], overlap.durable, runtime.hot_keys
+    plan = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString())
+    monkeypatch.setattr(overlap, "durable", lambda df: plan(df) or keep(df))
+    monkeypatch.setattr(runtime, "hot_keys", lambda *a, **k: keys.extend(found := find(*a, **k)) or found)
+    rnd = random.Random(17)
+    texts = [" ".join(f"w{rnd.randrange(400)}" for _ in range(200)) for _ in range(20)]
+    rows = [(i, t, "train") for i, t in enumerate(texts)] + [(100 + i, t, "dev") for i, t in enumerate(texts[:5])]
+    df = spark.createDataFrame(rows, "ejemplo_id long, text string, particion string")
+    # Each step by itself: what one plan broadcasts may not hide in another's.
+    r = overlap.sided_rows(df)
+    c = overlap.classes_of(r)
+    near = overlap.near_links(c)
+    plan(near)
+    plan(overlap.members(r.dropDuplicates(["canon"]), c))
+    assert not [p for p in plans if "BroadcastHashJoin" in p]
+    got = {(x.ejemplo_a, x.ejemplo_b) for x in overlap.row_pairs(r, c, overlap.links(r, c)).collect()}
+    assert got == {(i, 100 + i) for i in range(5)}
+    # Copied texts are hot here; they come to the driver as digests.
+    assert any(isinstance(k, str) for k in keys) and max(len(k) for k in keys if isinstance(k, str)) <= 64
+
+
 # 6: consensus
 
 
