@@ -1,5 +1,7 @@
 """Hand-made cases: nulls, ties, repeats, empty tables, skew."""
 
+import random
+
 from correlia import runtime
 from correlia.functions import text as X
 from correlia.operators import components, evaluate, group_splits, ingest, mentions, neardup, network, operons, sampling, scoring
@@ -112,6 +114,41 @@ def test_near_duplicates_against_brute_force(spark):
     assert sorted((r.a, r.b) for r in got) == [(1, 2), (1, 4)]
 
 
+def test_near_duplicates_broadcast_nothing_by_estimate(spark, tmp_path):
+    """Any sizes on either side, against all pairs; the n-grams, whose size Spark can't estimate, must not go through the driver."""
+    rnd = random.Random(5)
+    bases = [[f"w{rnd.randrange(300)}" for _ in range(rnd.choice([1, 4, 6, 9, 20, 60, 400]))] for _ in range(40)]
+
+    def changed(w):
+        w = list(w)
+        for _ in range(rnd.choice([0, 0, 1, 2])):
+            w[rnd.randrange(len(w))] = "other"
+        cut = rnd.choice([0, 0, 1, len(w) // 3])
+        return " ".join(w[cut:] + rnd.choice([[], ["more"] * 3, rnd.choice(bases)]))
+
+    rows = [(i, changed(rnd.choice(bases)), rnd.random() < 0.4) for i in range(400)] + [(400, None, True), (401, "...", False)]
+    rows += [(i, changed(rnd.choice(bases)), held) for i, _, held in rows[:10]]  # a repeated id has the n-grams of all its rows
+    spark.createDataFrame(rows, "id long, t string, held boolean").write.parquet(f"{tmp_path}/rows")
+    df = spark.read.parquet(f"{tmp_path}/rows")
+    got = neardup.contained(*[neardup.ngrams(df.where(x), "id", "t") for x in ("held", "not held")])
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+
+    def classes(held):
+        sets = {}
+        for i, t, h in rows:
+            if h == held and t and t != "...":
+                w = t.split()
+                sets.setdefault(i, set()).update(tuple(w[k : k + 5]) for k in range(max(len(w) - 4, 1)))
+        first = {}
+        for i, g in sets.items():
+            first[frozenset(g)] = min(i, first.get(frozenset(g), i))
+        return first
+
+    want = {(a, b, len(x & y), round(len(x & y) / min(len(x), len(y)), 6)) for x, a in classes(True).items() for y, b in classes(False).items() if len(x & y) >= 0.8 * min(len(x), len(y))}
+    found = [tuple(r) for r in got.collect()]
+    assert len(found) == len(set(found)) and set(found) == want and len(want) > 300
+
+
 def test_folds_keep_groups_and_balance(spark):
     df = spark.range(2000).select((F.col("id") % 500).alias("g"), F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("l"))
     folds = sampling.group_folds(df, "g", "l", 5)
